@@ -68,12 +68,14 @@ def with_neighbour(
     name: str,
     step: int = 1,
     rows_per_task: int = ROWS_PER_TASK,
+    total: int | None = None,
 ) -> DataFrame:
     """Add ``name``: ``value`` of the next (``step=1``) or previous (``-1``) row.
 
     Rows are ordered within ``keys`` by ``order``, ascending, NULLs last. The order
     must be total within a group. ``value`` must not be NULL where a row exists, so
-    wrap nullable values in a struct; NULL then means there is no such row.
+    wrap nullable values in a struct; NULL then means there is no such row. ``total``
+    may give an upper bound of the rows that is cheaper to get than a count.
     """
     ascending = [F.col(c).asc_nulls_last() for c in order]
     move = F.lead if step > 0 else F.lag
@@ -81,7 +83,7 @@ def with_neighbour(
     def within(*groups: str):
         return Window.partitionBy(*groups).orderBy(*ascending)
 
-    total = df.count()
+    total = df.count() if total is None else total
     if total <= rows_per_task:
         return df.withColumn(name, move(value).over(within(*keys)))
 

@@ -212,7 +212,7 @@ def value_list(df: DataFrame, column: str, max_records: int, default: list | Non
 
 def single_value(df: DataFrame, default: Any = None) -> Column:
     """First cell of a query as a scalar subquery; ``default`` when it has no rows."""
-    first = df.columns[0]
-    one = df.select(F.col(first).alias("v")).limit(1)
+    # by position, as a computed column's name need not be a valid reference
+    one = df.toDF("v", *[f"other_{i}" for i in range(1, len(df.columns))]).select("v").limit(1)
     picked = one.agg(F.when(F.count(F.lit(1)) == 0, F.lit(default)).otherwise(F.first("v")).alias("v"))
     return picked.scalar()

@@ -220,6 +220,16 @@ def relationships_where(
     return lost.withColumn("right_id", F.lit(None).cast(parent.schema[field].dataType))
 
 
+def orphan_count(child: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
+    """One row: how many child rows ``relationships`` would give.
+
+    Keys collapse to counts before the join, so a hot key is one row of it.
+    """
+    keys = child.groupBy(F.col(column).alias("id")).agg(_count().alias("n")).filter("id IS NOT NULL")
+    lost = keys.join(parent.select(F.col(field).alias("known")), F.col("id") == F.col("known"), "left_anti")
+    return lost.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("orphaned_rows"))
+
+
 def relationships(child: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
     return relationships_where(child, column, parent, field).select(F.col("id").alias("from_field"))
 
@@ -242,7 +252,7 @@ def sequential_values(
     """
     groups, previous = list(group_by), f"previous_{slugify(column)}"
     distinct = df.filter(F.col(column).isNotNull()).groupBy(*groups, column).agg(_count().alias("__n"))
-    before = with_neighbour(distinct, groups, [column], F.struct(column), "__before", -1, rows_per_task)
+    before = with_neighbour(distinct, groups, [column], F.struct(column), "__before", -1, rows_per_task, df.count())
 
     def broken(prior: Column) -> Column:
         if datepart is None:
@@ -282,7 +292,7 @@ def mutually_exclusive_ranges(
         df.select(*[F.expr(e).alias(name) for name, e in columns.items()]).groupBy(*columns).agg(_count().alias("__n"))
     )
     nexts = with_neighbour(
-        distinct, keys, ["lower_bound", "upper_bound"], F.struct("lower_bound"), "__next", 1, rows_per_task
+        distinct, keys, ["lower_bound", "upper_bound"], F.struct("lower_bound"), "__next", 1, rows_per_task, df.count()
     )
 
     def judged(rows: DataFrame) -> DataFrame:

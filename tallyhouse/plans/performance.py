@@ -105,12 +105,15 @@ def daily_tier(rank: Column) -> Column:
 def product_performance(
     fact: DataFrame, dates: DataFrame, products: DataFrame, ctx: RunContext
 ) -> DataFrame:
-    """A product with two names in the dimension appears once per name."""
+    """A product with two names in the dimension appears once per name.
+
+    Ratios come last, so that the two window shuffles do not carry them.
+    """
     what = products.select(
         "product_id", "product_name", "product_category", "performance_segment", "price_segment", "price_stability"
     )
-    named = with_ratios(daily_rollup(fact, dates)).join(what, F.col("product_key") == F.col("product_id"), "left")
-    return with_daily_rank(with_rolling(named)).select(
+    named = daily_rollup(fact, dates).join(what, F.col("product_key") == F.col("product_id"), "left")
+    return with_ratios(with_daily_rank(with_rolling(named))).select(
         "product_key",
         "date_key",
         "product_name",

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.arithmetic import percentage, safe_divide
+from tallyhouse.operators.violations import orphan_count
 from tallyhouse.plans.fact import QUALITY_FLAGS
 from tallyhouse.sources.raw import union_all
 
@@ -52,19 +53,12 @@ def dimension_completeness(customers: DataFrame, products: DataFrame, dates: Dat
     )
 
 
-def orphans(fact: DataFrame, fact_key: str, dimension: DataFrame, key: str) -> DataFrame:
-    """Fact rows whose key the dimension lacks. Keys collapse before the join."""
-    keys = fact.groupBy(F.col(fact_key).alias("fk")).agg(F.count(F.lit(1)).alias("n"))
-    return keys.join(dimension.select(F.col(key).alias("pk")), F.col("fk") == F.col("pk"), "left_anti").agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("orphaned_rows")
-    )
-
-
 def orphan_report(fact: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
+    """Fact rows whose key a dimension lacks; fact keys are never NULL."""
     return union_all(
         [
-            orphans(fact, "customer_key", customers, "customer_id").withColumn("dimension", F.lit("customers")),
-            orphans(fact, "product_key", products, "product_id").withColumn("dimension", F.lit("products")),
+            orphan_count(fact, "customer_key", customers, "customer_id").withColumn("dimension", F.lit("customers")),
+            orphan_count(fact, "product_key", products, "product_id").withColumn("dimension", F.lit("products")),
         ]
     ).select("dimension", "orphaned_rows")
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyhouse.functions.arithmetic import percentage
-from tallyhouse.operators.violations import outside
+from tallyhouse.operators.violations import orphan_count, outside
 from tallyhouse.sources.raw import union_all
 
 
@@ -92,55 +92,55 @@ def _not_null(check: NotNull) -> Column:
     )
 
 
-def _unbatched_unique(df: DataFrame, check: Unique) -> DataFrame:
+def _distinct_pass(df: DataFrame, check: Unique, and_not_null: bool) -> DataFrame:
     """A distinct count on its own: it shuffles nothing but the column.
 
     Beside other aggregates it would drag all their buffers through the shuffle,
-    once per distinct value.
+    once per distinct value. The same pass knows how many values are NULL.
     """
-    values = df.groupBy(F.col(check.column).alias("v")).agg(F.count(F.lit(1)).alias("n"))
-    totals = values.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("v").alias("d"))
-    excess = F.col("n") - F.col("d")
-    row = _result(
-        "unique", check.column, excess, total_rows=F.col("n"), unique_values=F.col("d"), duplicate_rows=excess
+    values = df.groupBy(F.col(check.column).alias("v")).agg(F.count(F.lit(1)).alias("c"))
+    totals = values.agg(
+        F.coalesce(F.sum("c"), F.lit(0)).alias("n"),
+        F.count("v").alias("d"),
+        F.coalesce(F.sum(F.when(F.col("v").isNotNull(), F.col("c"))), F.lit(0)).alias(f"present_{check.column}"),
     )
-    return totals.select(row.alias("r")).select("r.*")
+    excess = F.col("n") - F.col("d")
+    rows = [_result("unique", check.column, excess, total_rows=F.col("n"), unique_values=F.col("d"), duplicate_rows=excess)]
+    if and_not_null:
+        rows.append(_not_null(NotNull(check.column)))
+    return totals.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
-def _unbatched_references(df: DataFrame, check: References) -> DataFrame:
-    """Keys collapse to counts before the join, so a hot key is one row of it."""
-    keys = df.groupBy(F.col(check.column).alias("fk")).agg(F.count(F.lit(1)).alias("n")).filter("fk IS NOT NULL")
-    known = check.parent.select(F.col(check.parent_column).alias("pk"))
-    lost = keys.join(known, F.col("fk") == F.col("pk"), "left_anti")
-    totals = lost.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("lost"))
-    row = _result("referential_integrity", check.column, F.col("lost"), orphaned_rows=F.col("lost"))
-    return totals.select(row.alias("r")).select("r.*")
+def _references_pass(df: DataFrame, check: References) -> DataFrame:
+    totals = orphan_count(df, check.column, check.parent, check.parent_column)
+    lost = F.col("orphaned_rows")
+    return totals.select(_result("referential_integrity", check.column, lost, orphaned_rows=lost).alias("r")).select("r.*")
 
 
 def run_suite(df: DataFrame, checks: list[Check], layer: str, table: str) -> DataFrame:
     """One row per check. NULL and range checks share one pass without a shuffle."""
-    wanted = [c for c in checks if isinstance(c, (NotNull, InRange))]
     for check in checks:
         if not isinstance(check, (NotNull, Unique, InRange, References)):
             raise TypeError(f"unknown check: {check!r}")
-    parts = []
-    if wanted:
-        present = {c.column for c in wanted if isinstance(c, NotNull)}
-        bad = {f"bad_{i}": c for i, c in enumerate(wanted) if isinstance(c, InRange)}
+    not_null = {c.column for c in checks if isinstance(c, NotNull)}
+    unique = [c for c in checks if isinstance(c, Unique)]
+    present = sorted(not_null - {c.column for c in unique})
+    ranges = {f"bad_{i}": c for i, c in enumerate(c for c in checks if isinstance(c, InRange))}
+    parts = [_distinct_pass(df, c, c.column in not_null) for c in unique]
+    if present or ranges:
         sums = df.agg(
             F.count(F.lit(1)).alias("n"),
-            *[F.count(c).alias(f"present_{c}") for c in sorted(present)],
-            *[F.count_if(outside(c.column, c.min_value, c.max_value)).alias(name) for name, c in bad.items()],
+            *[F.count(c).alias(f"present_{c}") for c in present],
+            *[F.count_if(outside(c.column, c.min_value, c.max_value)).alias(name) for name, c in ranges.items()],
         )
-        rows = [_not_null(c) for c in wanted if isinstance(c, NotNull)]
-        for name, c in bad.items():
+        rows = [_not_null(NotNull(c)) for c in present]
+        for name, c in ranges.items():
             limits = {"min_value": F.lit(c.min_value), "max_value": F.lit(c.max_value)}
             rows.append(
                 _result("range", c.column, F.col(name), total_rows=F.col("n"), out_of_range_rows=F.col(name), **limits)
             )
         parts.append(sums.select(F.explode(F.array(*rows)).alias("r")).select("r.*"))
-    parts += [_unbatched_unique(df, c) for c in checks if isinstance(c, Unique)]
-    parts += [_unbatched_references(df, c) for c in checks if isinstance(c, References)]
+    parts += [_references_pass(df, c) for c in checks if isinstance(c, References)]
     return union_all(parts).select(F.lit(layer).alias("layer"), F.lit(table).alias("table_name"), "*")
 
 

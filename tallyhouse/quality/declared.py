@@ -196,25 +196,35 @@ def _row_rule(rule: Rule, ctx: RunContext) -> Column | None:
     return None
 
 
-def _failures(df: DataFrame, rules: Sequence[Rule], tables: dict[str, DataFrame], ctx: RunContext) -> DataFrame:
-    """(test number, failures) of all rules of one table."""
+def _failures(
+    df: DataFrame, rules: dict[int, Rule], tables: dict[str, DataFrame], ctx: RunContext
+) -> list[DataFrame]:
+    """(test number, failures) of the rules of one table, to be summed per test."""
     parts: list[DataFrame] = []
-    sums, offending = {}, []
-    for i, rule in enumerate(rules):
+    sums: dict[int, Column] = {}
+    offending: list[Column] = []
+
+    def numbered(i: int, failures: DataFrame) -> DataFrame:
+        return failures.toDF("failures").select(F.lit(i).alias("test_no"), "failures")
+
+    for i, rule in rules.items():
         bad = _row_rule(rule, ctx)
         scope = F.expr(rule.where) if rule.where else F.lit(True)
         if bad is not None:
             sums[i] = F.count_if(scope & bad)
         elif rule.kind == "accepted_values":
-            boolean = isinstance(df.schema[rule.column].dataType, T.BooleanType)
             sums[i] = F.lit(0).cast("bigint")
+            boolean = isinstance(df.schema[rule.column].dataType, T.BooleanType)
             if not (boolean and set(rule.values) == {True, False}):
                 text = F.col(rule.column).cast("string")
                 wrong = scope & ~F.col(rule.column).isin(list(rule.values))
                 offending.append(F.when(wrong, F.struct(F.lit(i).alias("test_no"), text.alias("value"))))
+        elif rule.kind == "relationships":
+            rows = df.filter(scope)
+            parts.append(numbered(i, V.orphan_count(rows, rule.column, tables[rule.to], rule.field)))
         else:
             found = as_test(rule, tables, ctx).failing_rows(df)
-            parts.append(found.agg(F.count(F.lit(1)).alias("failures")).select(F.lit(i).alias("test_no"), "failures"))
+            parts.append(numbered(i, found.agg(F.count(F.lit(1)))))
     if sums:
         wide = df.agg(*[c.alias(f"f{i}") for i, c in sums.items()])
         pairs = [F.struct(F.lit(i).alias("test_no"), F.col(f"f{i}").alias("failures")) for i in sums]
@@ -222,29 +232,26 @@ def _failures(df: DataFrame, rules: Sequence[Rule], tables: dict[str, DataFrame]
     if offending:
         # good rows emit nothing, so this counts distinct bad values at little cost
         values = df.select(F.explode(F.filter(F.array(*offending), lambda x: x.isNotNull())).alias("p")).select("p.*")
-        parts.append(values.distinct().groupBy("test_no").agg(F.count(F.lit(1)).alias("failures")))
-    return union_all(parts).groupBy("test_no").agg(F.sum("failures").alias("failures"))
+        parts.append(values.distinct().select("test_no", F.lit(1).cast("bigint").alias("failures")))
+    return parts
 
 
 def run_declared(tables: dict[str, DataFrame], ctx: RunContext) -> DataFrame:
     """One row per declared test: its failures and its grade."""
-    results = []
-    for table, rules in declared_rules(ctx).items():
-        if table not in tables:
-            continue
-        facts = F.array(
-            *[F.struct(F.lit(r.name).alias("test"), F.lit(r.severity).alias("severity")) for r in rules]
-        )
-        found = _failures(tables[table], rules, tables, ctx).withColumn("t", F.get(facts, F.col("test_no")))
-        status = F.when(F.col("t.severity") == "warn", grade(F.col("failures"), "warn")).otherwise(
-            grade(F.col("failures"))
-        )
-        results.append(
-            found.select(
-                F.lit(table).alias("table_name"), F.col("t.test"), F.col("t.severity"), "failures", status.alias("status")
-            )
-        )
-    return union_all(results)
+    flat = [(t, r) for t, rules in declared_rules(ctx).items() if t in tables for r in rules]
+    parts: list[DataFrame] = []
+    for table in dict.fromkeys(t for t, _ in flat):
+        rules = {i: r for i, (t, r) in enumerate(flat) if t == table}
+        parts += _failures(tables[table], rules, tables, ctx)
+    # about a hundred rows come in, so one small shuffle adds them up
+    found = union_all(parts).groupBy("test_no").agg(F.sum("failures").alias("failures"))
+    facts = F.array(
+        *[F.struct(F.lit(t).alias("table_name"), F.lit(r.name).alias("test"), F.lit(r.severity).alias("severity")) for t, r in flat]
+    )
+    status = F.when(F.col("severity") == "warn", grade(F.col("failures"), "warn")).otherwise(grade(F.col("failures")))
+    return found.select(F.get(facts, F.col("test_no")).alias("t"), "failures").select(
+        "t.*", "failures"
+    ).withColumn("status", status)
 
 
 def failing_tests(tables: dict[str, DataFrame], ctx: RunContext) -> dict[str, list[Test]]:
