@@ -121,16 +121,16 @@ def with_neighbour(
     pick = F.min_by if step > 0 else F.max_by
     edges = ranged.filter("__hot").groupBy(*keys, "__range").agg(pick(value, edge).alias("__edge"))
     found = (
-        edges.withColumn("__next", move(F.col("__edge")).over(Window.partitionBy(*keys).orderBy("__range")))
-        .filter("__next IS NOT NULL")
-        .select(*[F.col(k).alias(f"__{k}") for k in keys], F.col("__range").alias("__r"), "__next")
+        edges.withColumn("__edge_value", move(F.col("__edge")).over(Window.partitionBy(*keys).orderBy("__range")))
+        .filter("__edge_value IS NOT NULL")
+        .select(*[F.col(k).alias(f"__{k}") for k in keys], F.col("__range").alias("__edge_range"), "__edge_value")
     )
-    match = _same([F.col(k) for k in keys] + [F.col("__range")], [F.col(f"__{k}") for k in keys] + [F.col("__r")])
+    match = _same([F.col(k) for k in keys] + [F.col("__range")], [F.col(f"__{k}") for k in keys] + [F.col("__edge_range")])
     # edges: hot groups times ranges, both bounded by total / rows_per_task
     return (
         inner.join(F.broadcast(found), match, "left")
-        .withColumn(name, F.coalesce(F.col(name), F.col("__next")))
-        .drop("__r", "__next", "__range", "__hot", *[f"__{k}" for k in keys])
+        .withColumn(name, F.coalesce(F.col(name), F.col("__edge_value")))
+        .drop("__edge_range", "__edge_value", "__range", "__hot", *[f"__{k}" for k in keys])
     )
 
 
@@ -144,11 +144,9 @@ def repeat_rows(df: DataFrame, times: str, per_task: int = REPEATS_PER_TASK) ->
     blocks = df.filter(n > 0).withColumn(
         "__block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((n - 1) / per_task).cast("bigint")))
     )
-    big = blocks.filter(n > per_task).repartition(*df.columns, "__block")
-    small = blocks.filter(n <= per_task)
     left = F.least(n - F.col("__block") * per_task, F.lit(per_task).cast("bigint"))
     return (
-        small.unionByName(big)
+        blocks.repartition(*df.columns, "__block")
         .withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), left)))
         .drop("__block", "__copy", times)
     )

@@ -8,6 +8,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyhouse.operators.ordering import ROWS_PER_TASK, repeat_rows, with_neighbour
 from tallyhouse.operators.shaping import slugify
@@ -28,7 +29,8 @@ def _paired_counts(a: DataFrame, b: DataFrame, group_by: Sequence[str], left: st
         return both.agg(*[F.count_if(F.col("s") == s).alias(s) for s in (left, right)])
     counted_a = a.groupBy(*[F.col(c).alias(f"{c}_a") for c in group_by]).agg(_count().alias(left))
     counted_b = b.groupBy(*[F.col(c).alias(f"{c}_b") for c in group_by]).agg(_count().alias(right))
-    return counted_a.join(counted_b, [F.col(f"{c}_a") == F.col(f"{c}_b") for c in group_by], "full")
+    both = counted_a.join(counted_b, [F.col(f"{c}_a") == F.col(f"{c}_b") for c in group_by], "full")
+    return both.select(*[f"{c}_{side}" for c in group_by for side in "ab"], left, right)
 
 
 def equal_rowcount(a: DataFrame, b: DataFrame, group_by: Sequence[str] = ()) -> DataFrame:
@@ -170,8 +172,11 @@ def not_constant(df: DataFrame, column: str, group_by: Sequence[str] = ()) -> Da
     """Groups with exactly one distinct value, NULLs aside.
 
     Smallest equal to largest says the same as one distinct value, and both
-    combine map-side.
+    combine map-side. Spark would sort for the smallest text, so texts are counted.
     """
+    if isinstance(df.schema[column].dataType, (T.StringType, T.BinaryType)):
+        pairs = df.select(*group_by, column).distinct().groupBy(*group_by)
+        return pairs.agg(F.count(column).alias("n_distinct")).filter("n_distinct = 1")
     ends = df.groupBy(*group_by).agg(F.min(column).alias("__min"), F.max(column).alias("__max"))
     return ends.filter("__min = __max").select(*group_by, F.lit(1).cast("bigint").alias("n_distinct"))
 
@@ -262,7 +267,9 @@ def sequential_values(
 
     prior = F.col("__before")[column]
     firsts = before.filter(broken(prior)).select(*groups, column, prior.alias(previous))
-    copies = distinct.filter((F.col("__n") > 1) & broken(F.col(column))).select(
+    if interval == 0:
+        return firsts
+    copies = distinct.filter("__n > 1").select(
         *groups, column, F.col(column).alias(previous), (F.col("__n") - 1).alias("__n")
     )
     return firsts.unionByName(repeat_rows(copies, "__n"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.context import RunContext
 from tallyhouse.functions.arithmetic import mean, percentage, ratio
+from tallyhouse.operators.grouping import aggregate_with_distinct
 
 MONTH_COLUMNS = ["year", "month", "year_month", "quarter", "year_quarter"]
 
@@ -18,18 +19,18 @@ def monthly_tier(revenue: Column) -> Column:
 def monthly_metrics(fact: DataFrame, dates: DataFrame) -> DataFrame:
     """Fact by customer and month.
 
-    Active days are bits of the month, so products stay the only distinct count;
-    Spark then groups by (customer, month, product) first, which splits a hot
-    customer. The calendar table is small enough on disk for Spark to broadcast.
+    Active days are bits of the month, so products stay the only distinct count. The
+    month fixes its year and quarter, so these are looked up after the grouping. The
+    calendar table is small enough on disk for Spark to broadcast.
     """
-    calendar = dates.select("date_day", *MONTH_COLUMNS)
-    return (
-        fact.join(calendar, F.col("date_key") == F.col("date_day"))
-        .groupBy("customer_key", *MONTH_COLUMNS)
-        .agg(
+    days = dates.select("date_day", "year_month")
+    months = dates.select(*MONTH_COLUMNS).distinct()
+    return aggregate_with_distinct(
+        fact.join(days, F.col("date_key") == F.col("date_day")),
+        ["customer_key", "year_month"],
+        [
             F.count(F.lit(1)).alias("transaction_count"),
             F.bit_count(F.bit_or(F.expr("shiftleft(1, dayofmonth(date_key) - 1)"))).cast("bigint").alias("active_days"),
-            F.count_distinct("product_key").alias("unique_products_purchased"),
             F.sum("quantity").alias("total_quantity"),
             mean("quantity").alias("avg_quantity_per_transaction"),
             F.sum("line_subtotal").alias("total_subtotal"),
@@ -43,8 +44,10 @@ def monthly_metrics(fact: DataFrame, dates: DataFrame) -> DataFrame:
             F.count_if("is_premium_price").alias("premium_price_count"),
             mean("data_quality_score").alias("avg_data_quality_score"),
             F.count_if("is_clean_record").alias("clean_record_count"),
-        )
-    )
+        ],
+        "product_key",
+        "unique_products_purchased",
+    ).join(months, "year_month")
 
 
 def monthly_customer_summary(

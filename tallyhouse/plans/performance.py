@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.context import RunContext
 from tallyhouse.functions.arithmetic import mean, percentage, ratio
+from tallyhouse.operators.grouping import aggregate_with_distinct
 
 DAY_COLUMNS = ["year", "month", "quarter", "year_month", "week_of_year", "day_name", "is_weekend"]
 
@@ -17,9 +18,8 @@ def daily_rollup(fact: DataFrame, dates: DataFrame) -> DataFrame:
     The calendar is joined after the grouping: a day fixes its own attributes, so
     the join meets one row per product and day instead of every transaction.
     """
-    daily = fact.groupBy("product_key", "date_key").agg(
+    measures = [
         F.count(F.lit(1)).alias("transaction_count"),
-        F.count_distinct("customer_key").alias("unique_customers"),
         F.sum("quantity").alias("total_quantity"),
         mean("quantity").alias("avg_quantity_per_transaction"),
         F.sum("line_subtotal").alias("total_subtotal"),
@@ -32,6 +32,9 @@ def daily_rollup(fact: DataFrame, dates: DataFrame) -> DataFrame:
         F.sum("estimated_margin").alias("total_estimated_margin"),
         F.count_if("is_bulk_purchase").alias("bulk_purchase_count"),
         F.count_if("is_guest_transaction").alias("guest_purchase_count"),
+    ]
+    daily = aggregate_with_distinct(
+        fact, ["product_key", "date_key"], measures, "customer_key", "unique_customers"
     )
     calendar = dates.select("date_day", *DAY_COLUMNS)
     return daily.join(calendar, F.col("date_key") == F.col("date_day")).drop("date_day")

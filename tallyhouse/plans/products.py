@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.context import RunContext
 from tallyhouse.functions.arithmetic import mean, ratio, safe_divide
+from tallyhouse.operators.grouping import aggregate_with_distinct
 
 # Product names per category.
 CATEGORY_1 = ["PRODUCT A", "PRODUCT B"]
@@ -16,16 +17,16 @@ CATEGORY_2 = ["PRODUCT C", "PRODUCT D"]
 def product_metrics(stg: DataFrame) -> DataFrame:
     """Volume, price, tax and revenue per (product, name).
 
-    The one distinct count groups by (product, name, date) first, which splits a
-    hot product by day and combines map-side.
+    A hot product combines map-side to one row per task, and its days to one row
+    per task and day.
     """
     quantity = F.coalesce(F.col("quantity"), F.lit(0))
     total = F.coalesce(F.col("line_total"), F.lit(0))
     rate = F.when(F.col("price") > 0, F.col("tax") / F.nullif(F.col("price"), F.lit(0)))
-    return (
-        stg.filter(F.col("transaction_id").isNotNull() & F.col("product_id").isNotNull())
-        .groupBy("product_id", "product_name")
-        .agg(
+    return aggregate_with_distinct(
+        stg.filter(F.col("transaction_id").isNotNull() & F.col("product_id").isNotNull()),
+        ["product_id", "product_name"],
+        [
             F.count(F.lit(1)).alias("total_transactions"),
             F.sum(quantity).alias("total_quantity_sold"),
             mean(quantity).alias("avg_quantity_per_transaction"),
@@ -40,9 +41,11 @@ def product_metrics(stg: DataFrame) -> DataFrame:
             mean(total).alias("avg_transaction_revenue"),
             F.min("transaction_date").alias("first_sale_date"),
             F.max("transaction_date").alias("last_sale_date"),
-            F.count_distinct("transaction_date").alias("days_with_sales"),
             F.avg(rate).alias("avg_tax_rate"),
-        )
+        ],
+        "transaction_date",
+        "days_with_sales",
+        nullable_keys=True,
     )
 
 
