@@ -1,13 +1,15 @@
-"""Previous and next rows in groups of any size.
+"""Neighbours and ranks in groups of any size.
 
 A window function sorts a whole group in one task. That is fine for many small
 groups and hopeless for one huge one, or for no grouping at all. Here a large
-group is cut into ranges of its order column; neighbours are found inside each
-range, and the few rows at a range's edge look up the next range's first row.
+group is cut into ranges of its order column and each range is sorted by itself.
+What one range must know of the others, its neighbour's first row or how many rows
+lie ahead, is one small row per range.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -19,6 +21,8 @@ ROWS_PER_TASK = 20_000_000
 # cut points are looked up in two steps of this many comparisons
 STEP = 32
 MAX_RANGES = STEP * STEP
+# pairs of group and range that may be broadcast
+MAX_BROADCAST_PAIRS = 500_000
 # rows one task may write out when a counted row is repeated
 REPEATS_PER_TASK = 1_000_000
 
@@ -51,13 +55,62 @@ def range_number(at: Column, cuts: list[float]) -> Column:
     return F.when(at.isNull() | (block == 0), 0).otherwise((block - 1) * STEP + inside)
 
 
-def _same(left: list[Column], right: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, [x.eqNullSafe(y) for x, y in zip(left, right)], F.lit(True))
-
-
 def hot_groups(df: DataFrame, keys: list[str], limit: int) -> DataFrame:
     """Groups above ``limit`` rows. There are at most rows / limit of them."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).filter(F.col("__rows") > limit)
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).filter(F.col("__rows") > limit).drop("__rows")
+
+
+@dataclass(frozen=True)
+class Split:
+    """Rows with ``__hot`` and ``__range``: groups too large for one task, cut by a column.
+
+    Ranges of a group follow each other in the column's ascending order, NULLs last.
+    ``pairs`` bounds how many (group, range) pairs there can be.
+    """
+
+    rows: DataFrame
+    keys: list[str]
+    pairs: int
+
+    def by_range(self, *aggregates: Column) -> DataFrame:
+        """One row per range of a hot group."""
+        return self.rows.filter("__hot").groupBy(*self.keys, "__range").agg(*aggregates)
+
+    def look_up(self, rows: DataFrame, found: DataFrame) -> DataFrame:
+        """Bring a value per range of a hot group to the rows; NULL for other rows."""
+        names = {k: f"__{k}" for k in [*self.keys, "__range"]}
+        renamed = found.withColumnsRenamed(names)
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()])
+        # the hint is given only where the number of pairs is known to be small
+        side = F.broadcast(renamed) if self.pairs <= MAX_BROADCAST_PAIRS else renamed
+        return rows.join(side, same, "left").drop(*names.values())
+
+
+def split_hot_groups(df: DataFrame, keys: list[str], column: str, rows_per_task: int, total: int) -> Split | None:
+    """Cut the groups above ``rows_per_task``; None when there are none."""
+    if total <= rows_per_task:
+        return None
+    hot = hot_groups(df, keys, rows_per_task).collect() if keys else [()]
+    if not hot:
+        return None
+    # the cut points only balance the load: any choice of them gives the same result
+    at = position(column, df)
+    ranges = min(MAX_RANGES, -(-total // rows_per_task))
+    shares = [i / ranges for i in range(1, ranges)]
+    cuts = sorted(set(df.agg(F.percentile_approx(at, shares, 100 * ranges).alias("c")).first()["c"] or []))
+    number = F.when(F.col(column).isNull(), len(cuts) + 1).otherwise(range_number(at, cuts))
+    if not keys:
+        marked = df.withColumn("__hot", F.lit(True))
+    else:
+        fields = [T.StructField(f"__{k}", df.schema[k].dataType) for k in keys]
+        marks = df.sparkSession.createDataFrame(
+            [(*group, True) for group in hot], T.StructType([*fields, T.StructField("__hot", T.BooleanType())])
+        )
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
+        # at most total / rows_per_task groups are hot, so this side is small
+        marked = df.join(F.broadcast(marks), same, "left").drop(*[f"__{k}" for k in keys])
+    rows = marked.withColumn("__range", F.when(F.col("__hot"), number).otherwise(0))
+    return Split(rows, keys, len(hot) * (len(cuts) + 2))
 
 
 def with_neighbour(
@@ -80,57 +133,56 @@ def with_neighbour(
     ascending = [F.col(c).asc_nulls_last() for c in order]
     move = F.lead if step > 0 else F.lag
 
-    def within(*groups: str):
-        return Window.partitionBy(*groups).orderBy(*ascending)
+    def moved(*groups: str) -> Column:
+        return move(value).over(Window.partitionBy(*groups).orderBy(*ascending))
 
-    total = df.count() if total is None else total
-    if total <= rows_per_task:
-        return df.withColumn(name, move(value).over(within(*keys)))
+    split = split_hot_groups(df, keys, order[0], rows_per_task, df.count() if total is None else total)
+    if split is None:
+        return df.withColumn(name, moved(*keys))
+    # the row of each range that the neighbouring range must look up
+    edge = F.struct(*[F.struct(F.col(c).isNull(), F.col(c)) for c in order])
+    pick = F.min_by if step > 0 else F.max_by
+    along = Window.partitionBy(*keys).orderBy("__range")
+    edges = split.by_range(pick(value, edge).alias("__edge"))
+    found = edges.select(*keys, "__range", move(F.col("__edge")).over(along).alias("__beyond"))
+    inner = split.rows.withColumn(name, moved(*keys, "__range"))
+    return (
+        split.look_up(inner, found)
+        .withColumn(name, F.coalesce(F.col(name), F.col("__beyond")))
+        .drop("__beyond", "__range", "__hot")
+    )
 
-    hot = hot_groups(df, keys, rows_per_task).drop("__rows") if keys else None
-    hot_rows = [] if hot is None else hot.collect()
-    if keys and not hot_rows:
-        return df.withColumn(name, move(value).over(within(*keys)))
 
-    # cut points of the first order column; they only balance the load, any choice
-    # of them gives the same result
-    at = position(order[0], df)
-    ranges = min(MAX_RANGES, -(-total // rows_per_task))
-    shares = [i / ranges for i in range(1, ranges)]
-    cuts = df.agg(F.percentile_approx(at, shares, 100 * ranges).alias("c")).first()["c"] or []
-    number = range_number(at, sorted(set(cuts)))
-    # a NULL in the first order column sorts last
-    number = F.when(F.col(order[0]).isNull(), len(cuts) + 1).otherwise(number)
-    if keys:
-        spark = df.sparkSession
-        marks = spark.createDataFrame(
-            [tuple(r) + (True,) for r in hot_rows], T.StructType(hot.schema.fields + [T.StructField("__hot", T.BooleanType())])
-        ).select(*[F.col(k).alias(f"__{k}") for k in keys], "__hot")
-        is_hot = _same([F.col(k) for k in keys], [F.col(f"__{k}") for k in keys])
-        # at most total / rows_per_task rows, so this side is safe to broadcast
-        df = df.join(F.broadcast(marks), is_hot, "left").drop(*[f"__{k}" for k in keys])
-        number = F.when(F.col("__hot"), number).otherwise(0)
-        ranged = df.withColumn("__range", number)
-    else:
-        ranged = df.withColumn("__hot", F.lit(True)).withColumn("__range", number)
+def with_rank(
+    df: DataFrame,
+    keys: list[str],
+    column: str,
+    name: str,
+    largest_group: int | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """Add ``name``: the rank by ``column`` within ``keys``, the largest value first.
 
-    inner = ranged.withColumn(name, move(value).over(within(*keys, "__range")))
+    ``largest_group`` is a known bound on the rows of a group, if there is one; within
+    ``rows_per_task`` it saves looking for hot groups.
+    """
 
-    # one row per hot group and range: the row that neighbours must look up
-    edge = F.struct(*[F.struct(F.col(c).isNull(), F.col(c)) for c in order])
-    pick = F.min_by if step > 0 else F.max_by
-    edges = ranged.filter("__hot").groupBy(*keys, "__range").agg(pick(value, edge).alias("__edge"))
-    found = (
-        edges.withColumn("__edge_value", move(F.col("__edge")).over(Window.partitionBy(*keys).orderBy("__range")))
-        .filter("__edge_value IS NOT NULL")
-        .select(*[F.col(k).alias(f"__{k}") for k in keys], F.col("__range").alias("__edge_range"), "__edge_value")
-    )
-    match = _same([F.col(k) for k in keys] + [F.col("__range")], [F.col(f"__{k}") for k in keys] + [F.col("__edge_range")])
-    # edges: hot groups times ranges, both bounded by total / rows_per_task
+    def ranked(*groups: str) -> Column:
+        return F.rank().over(Window.partitionBy(*groups).orderBy(F.col(column).desc_nulls_first()))
+
+    small = largest_group is not None and largest_group <= rows_per_task
+    split = None if small else split_hot_groups(df, keys, column, rows_per_task, df.count())
+    if split is None:
+        return df.withColumn(name, ranked(*keys))
+    # equal values share a range, so a range's rows all rank behind the ranges above
+    above = Window.partitionBy(*keys).orderBy(F.col("__range").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = split.by_range(F.count(F.lit(1)).alias("__rows"))
+    found = sizes.select(*keys, "__range", F.sum("__rows").over(above).alias("__ahead"))
+    inner = split.rows.withColumn(name, ranked(*keys, "__range"))
     return (
-        inner.join(F.broadcast(found), match, "left")
-        .withColumn(name, F.coalesce(F.col(name), F.col("__edge_value")))
-        .drop("__edge_range", "__edge_value", "__range", "__hot", *[f"__{k}" for k in keys])
+        split.look_up(inner, found)
+        .withColumn(name, (F.col(name) + F.coalesce("__ahead", F.lit(0))).cast("int"))
+        .drop("__ahead", "__range", "__hot")
     )
 
 

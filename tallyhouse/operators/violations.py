@@ -218,9 +218,12 @@ def relationships_where(
     from_condition: str = "1 = 1",
     to_condition: str = "1 = 1",
 ) -> DataFrame:
-    """Child rows whose key no parent row has; both sides filtered first."""
+    """Child rows whose key no parent row has; both sides filtered first.
+
+    Parent keys collapse before they shuffle, so one that repeats costs little.
+    """
     keys = child.filter(F.expr(from_condition) & F.col(column).isNotNull()).select(F.col(column).alias("id"))
-    known = parent.filter(F.expr(to_condition) & F.col(field).isNotNull()).select(F.col(field).alias("right_id"))
+    known = parent.filter(F.expr(to_condition) & F.col(field).isNotNull()).select(F.col(field).alias("right_id")).distinct()
     lost = keys.join(known, F.col("id") == F.col("right_id"), "left_anti")
     return lost.withColumn("right_id", F.lit(None).cast(parent.schema[field].dataType))
 
@@ -231,7 +234,8 @@ def orphan_count(child: DataFrame, column: str, parent: DataFrame, field: str) -
     Keys collapse to counts before the join, so a hot key is one row of it.
     """
     keys = child.groupBy(F.col(column).alias("id")).agg(_count().alias("n")).filter("id IS NOT NULL")
-    lost = keys.join(parent.select(F.col(field).alias("known")), F.col("id") == F.col("known"), "left_anti")
+    known = parent.select(F.col(field).alias("known")).distinct()
+    lost = keys.join(known, F.col("id") == F.col("known"), "left_anti")
     return lost.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("orphaned_rows"))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallyhouse.context import RunContext
 from tallyhouse.functions.arithmetic import mean, percentage, ratio
 from tallyhouse.operators.grouping import aggregate_with_distinct
+from tallyhouse.operators.ordering import with_rank
 
 DAY_COLUMNS = ["year", "month", "quarter", "year_month", "week_of_year", "day_name", "is_weekend"]
 
@@ -95,10 +96,9 @@ def with_rolling(daily: DataFrame) -> DataFrame:
     )
 
 
-def with_daily_rank(daily: DataFrame) -> DataFrame:
-    """Revenue rank within the day; a day holds at most one row per product."""
-    order = Window.partitionBy("date_key").orderBy(F.col("total_revenue").desc_nulls_first())
-    return daily.withColumn("daily_revenue_rank", F.rank().over(order))
+def with_daily_rank(daily: DataFrame, products: int | None = None) -> DataFrame:
+    """Revenue rank within the day. A day holds at most one row per product, if that number is known."""
+    return with_rank(daily, ["date_key"], "total_revenue", "daily_revenue_rank", largest_group=products)
 
 
 def daily_tier(rank: Column) -> Column:
@@ -116,7 +116,7 @@ def product_performance(
         "product_id", "product_name", "product_category", "performance_segment", "price_segment", "price_stability"
     )
     named = daily_rollup(fact, dates).join(what, F.col("product_key") == F.col("product_id"), "left")
-    return with_ratios(with_daily_rank(with_rolling(named))).select(
+    return with_ratios(with_daily_rank(with_rolling(named), products.count())).select(
         "product_key",
         "date_key",
         "product_name",

@@ -206,6 +206,10 @@ def monthly_customer_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(warehouse(spark, sf_dir).model("monthly_customer_summary"), *_STAMPS)
 
 
+def _ranked(spark: SparkSession, sf_dir: str, daily: DataFrame) -> DataFrame:
+    return PE.with_daily_rank(daily, mart(spark, sf_dir, "dim_products").count())
+
+
 def _rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return PE.daily_rollup(mart(spark, sf_dir, "fact_transactions"), mart(spark, sf_dir, "dim_dates"))
 
@@ -251,13 +255,13 @@ def rolling_seven_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def daily_revenue_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(
-        PE.with_daily_rank(_rollup(spark, sf_dir)).select("product_key", "date_key", "total_revenue", "daily_revenue_rank")
+        _ranked(spark, sf_dir, _rollup(spark, sf_dir)).select("product_key", "date_key", "total_revenue", "daily_revenue_rank")
     )
 
 
 @query("ag6_trend_and_tier", sql(f"SELECT {_KEYS}, {TREND_COLUMN}, {TIER_COLUMN} FROM rolling r", "rolling"))
 def trend_and_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranked = PE.with_daily_rank(PE.with_rolling(_rollup(spark, sf_dir)))
+    ranked = _ranked(spark, sf_dir, PE.with_rolling(_rollup(spark, sf_dir)))
     tier = PE.daily_tier(F.col("daily_revenue_rank")).alias("daily_performance_tier")
     return comparable(ranked.select("product_key", "date_key", "trend_indicator", tier))
 

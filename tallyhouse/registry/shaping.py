@@ -21,7 +21,7 @@ from tallyhouse.sources.tables import table
 def series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order numbers without a line: the series against the keys in use."""
     upper = table(spark, sf_dir, "orders").agg(F.max("o_orderkey").alias("m")).first()["m"]
-    keys = table(spark, sf_dir, "lineitem").select("l_orderkey")
+    keys = table(spark, sf_dir, "lineitem").select("l_orderkey").distinct()
     return generate_series(spark, upper).join(keys, F.col("generated_number") == F.col("l_orderkey"), "left_anti")
 
 

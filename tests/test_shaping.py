@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.operators import shaping as S
 from tallyhouse.operators.grouping import aggregate_with_distinct
-from tallyhouse.operators.ordering import repeat_rows, with_neighbour
+from tallyhouse.operators.ordering import repeat_rows, with_neighbour, with_rank
 from tallyhouse.operators.series import date_spine, generate_series
 from tallyhouse.operators.violations import mutually_exclusive_ranges, sequential_values
 
@@ -174,6 +174,17 @@ def test_neighbours_across_ranges(make, step, kind):
             assert found == wanted, (keys, limit)
 
 
+def test_ranks_across_ranges(make):
+    rng = random.Random(9)
+    data = [(rng.choice([1, 1, 1, None, 2]), rng.choice([None, *range(40)]), i) for i in range(400)]
+    df = make("k int, v int, i int", data)
+    for keys in (["k"], []):
+        wanted = rows(with_rank(df, keys, "v", "r", largest_group=400))
+        for limit in (10_000, 60, 7):
+            got = with_rank(df, keys, "v", "r", rows_per_task=limit)
+            assert got.columns == ["k", "v", "i", "r"] and rows(got) == wanted, (keys, limit)
+
+
 def test_tests_on_order_do_not_depend_on_the_split(make):
     rng = random.Random(5)
     data = [(rng.choice([1, 1, 1, 2]), rng.randrange(80), rng.randrange(1, 9)) for _ in range(500)]
