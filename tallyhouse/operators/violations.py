@@ -48,6 +48,11 @@ def fewer_rows_than(a: DataFrame, b: DataFrame, group_by: Sequence[str] = ()) ->
     )
 
 
+def rowcount_failures(column: str = "diff_count") -> Column:
+    """Failures of the two tests above; a group on one side only adds none."""
+    return F.sum(F.coalesce(F.col(column), F.lit(0)))
+
+
 def equality(a: DataFrame, b: DataFrame, columns: Sequence[str] | None = None, copies: bool = False) -> DataFrame:
     """Rows of one table that the other lacks, labelled with their side.
 

@@ -254,14 +254,16 @@ def run_declared(tables: dict[str, DataFrame], ctx: RunContext) -> DataFrame:
     ).withColumn("status", status)
 
 
-def failing_tests(tables: dict[str, DataFrame], ctx: RunContext) -> dict[str, list[Test]]:
+def failing_tests(tables: dict[str, DataFrame], graded: DataFrame, ctx: RunContext) -> dict[str, list[Test]]:
     """The tests worth storing rows of, per table: those that did not pass.
 
-    There are about a hundred tests, so the list of failed ones fits anywhere.
+    ``graded`` is what ``run_declared`` gave. There are about a hundred tests, so the
+    list of failed ones fits anywhere.
     """
-    failed = {(r.table_name, r.test) for r in run_declared(tables, ctx).filter("status <> 'pass'").collect()}
-    return {
+    failed = {(r.table_name, r.test) for r in graded.filter("status <> 'pass'").collect()}
+    found = {
         table: [as_test(r, tables, ctx) for r in rules if (table, r.name) in failed]
         for table, rules in declared_rules(ctx).items()
         if table in tables
     }
+    return {table: tests for table, tests in found.items() if tests}

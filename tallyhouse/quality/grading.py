@@ -64,9 +64,9 @@ def grade(failures: Column, severity: str = "error", warn_if: str = "!= 0", erro
 
 
 def store_failures(tests: list[Test], df: DataFrame, root: str) -> dict[str, str]:
-    """Write the violations of every test to its own table; returns their paths."""
+    """Write the violations of every test to its own table below ``root``; returns their paths."""
     paths = {}
     for test in tests:
-        paths[test.name] = f"{root}/test_results/{test.name}"
+        paths[test.name] = f"{root}/{test.name}"
         test.failing_rows(df).write.mode("overwrite").parquet(paths[test.name])
     return paths

@@ -161,7 +161,7 @@ def failing_row_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
         Test("price_range", lambda df: V.accepted_range(df, "o_totalprice", high=400000)),
         Test("open_has_urgency", lambda df: V.expression_is_true(df, "o_orderstatus <> 'O' OR o_orderpriority <> '5-LOW'")),
     ]
-    paths = store_failures(tests, table(spark, sf_dir, "orders"), workspace(spark, sf_dir))
+    paths = store_failures(tests, table(spark, sf_dir, "orders"), workspace(spark, sf_dir, "test_results"))
     return union_all([spark.read.parquet(p).select(F.lit(n).alias("test"), "o_orderkey") for n, p in paths.items()])
 
 

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyhouse.context import RunContext
+from tallyhouse.daily import daily_run
 from tallyhouse.plans import reports as R
 from tallyhouse.plans.dates import calendar_attributes, dim_dates, observed_spine
 from tallyhouse.plans.fact import fact_transactions
@@ -259,6 +260,20 @@ def test_freshness(spark, ctx, hours, status):
 # --- quality -------------------------------------------------------------------
 
 
+def test_daily_run(spark, ctx, sample, tmp_path):
+    outcome = daily_run(spark, sample, str(tmp_path), ctx)
+    assert outcome.report["total_checks"] == 25
+    assert outcome.tests == {"pass": 110, "warn": 1, "error": 2}
+    stored = spark.read.parquet(outcome.failing_rows["stg_transactions.not_null_price"])
+    assert stored.count() == 1
+
+
+def test_daily_run_stops_at_a_failed_check(spark, ctx, tmp_path):
+    path = write_csv(tmp_path / "twice.csv", [ROWS[0], *ROWS])
+    with pytest.raises(QualityError):
+        daily_run(spark, path, str(tmp_path / "out"), ctx)
+
+
 def test_report_passes_on_clean_marts_and_counts_25_checks(built):
     summary = gate(quality_report(built[1]))
     assert summary["total_checks"] == 25 and summary["pass_rate"] == 100.0
@@ -289,7 +304,7 @@ def test_declared_suite(built, ctx):
 
 def test_rows_of_failed_tests_are_stored(spark, built, ctx, tmp_path):
     _, tables = built
-    failed = failing_tests(tables, ctx)
+    failed = failing_tests(tables, run_declared(tables, ctx), ctx)
     assert [t.name for t in failed["stg_transactions"]] == ["not_null_price"]
     paths = store_failures(failed["stg_transactions"], tables["stg_transactions"], str(tmp_path))
     assert spark.read.parquet(paths["not_null_price"]).first().raw_transaction_id == "1009"
