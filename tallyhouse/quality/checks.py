@@ -3,13 +3,10 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tallyhouse.functions.arithmetic import percentage
 from tallyhouse.operators.violations import orphan_count, outside
 from tallyhouse.sources.raw import union_all
 
@@ -47,74 +44,71 @@ class References:
 Check = NotNull | Unique | InRange | References
 
 # what a check of each kind reports; the others leave it NULL
-RESULT = T.StructType(
-    [
-        T.StructField("check_type", T.StringType()),
-        T.StructField("column_name", T.StringType()),
-        T.StructField("total_rows", T.LongType()),
-        T.StructField("non_null_rows", T.LongType()),
-        T.StructField("null_rows", T.LongType()),
-        T.StructField("null_percentage", T.DoubleType()),
-        T.StructField("unique_values", T.LongType()),
-        T.StructField("duplicate_rows", T.LongType()),
-        T.StructField("min_value", T.DoubleType()),
-        T.StructField("max_value", T.DoubleType()),
-        T.StructField("out_of_range_rows", T.LongType()),
-        T.StructField("orphaned_rows", T.LongType()),
-        T.StructField("failed_rows", T.LongType()),
-        T.StructField("status", T.StringType()),
-    ]
-)
-
-
-def _result(check_type: str, column: str, failed: Column, **values: Any) -> Column:
-    """One check result as a struct of the common shape."""
-    status = values.pop("status", F.when(failed == 0, "PASS").otherwise("FAIL"))
-    values |= {"check_type": F.lit(check_type), "column_name": F.lit(column), "failed_rows": failed, "status": status}
-    return F.struct(*[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in RESULT.fields])
-
-
-def _not_null(check: NotNull) -> Column:
-    n = F.col("n")
-    present = F.col(f"present_{check.column}")
-    missing = n - present
-    # no rows means no percentage: that is an error, not a pass
-    status = F.when(n == 0, "ERROR").when(missing == 0, "PASS").otherwise("FAIL")
-    return _result(
+RESULT = {
+    "check_type": "string",
+    "column_name": "string",
+    "total_rows": "bigint",
+    "non_null_rows": "bigint",
+    "null_rows": "bigint",
+    "null_percentage": "double",
+    "unique_values": "bigint",
+    "duplicate_rows": "bigint",
+    "min_value": "double",
+    "max_value": "double",
+    "out_of_range_rows": "bigint",
+    "orphaned_rows": "bigint",
+    "failed_rows": "bigint",
+    "status": "string",
+}
+
+
+def _row(check_type: str, column: str, failed: str, **values: str) -> str:
+    """One check result as a struct expression of the common shape."""
+    status = f"CASE WHEN {failed} = 0 THEN 'PASS' ELSE 'FAIL' END"
+    named = {"status": status, **values, "check_type": f"'{check_type}'", "column_name": f"'{column}'", "failed_rows": failed}
+    return "struct(" + ", ".join(f"CAST({named.get(f, 'NULL')} AS {kind}) AS {f}" for f, kind in RESULT.items()) + ")"
+
+
+def _results(totals: DataFrame, rows: list[str]) -> DataFrame:
+    """The one row of totals as one row per check."""
+    return totals.selectExpr(f"inline(array({', '.join(rows)}))")
+
+
+def _not_null(column: str) -> str:
+    present = f"`present_{column}`"
+    return _row(
         "not_null",
-        check.column,
-        missing,
-        total_rows=n,
+        column,
+        f"(n - {present})",
+        total_rows="n",
         non_null_rows=present,
-        null_rows=missing,
-        null_percentage=percentage(missing, n),
-        status=status,
+        null_rows=f"n - {present}",
+        null_percentage=f"round(CAST((n - {present}) * 100 AS DECIMAL(25, 4)) / nullif(n, 0), 2)",
+        # no rows means no percentage: that is an error, not a pass
+        status=f"CASE WHEN n = 0 THEN 'ERROR' WHEN n = {present} THEN 'PASS' ELSE 'FAIL' END",
     )
 
 
-def _distinct_pass(df: DataFrame, check: Unique, and_not_null: bool) -> DataFrame:
+def _distinct_pass(df: DataFrame, column: str, and_not_null: bool) -> DataFrame:
     """A distinct count on its own: it shuffles nothing but the column.
 
     Beside other aggregates it would drag all their buffers through the shuffle,
     once per distinct value. The same pass knows how many values are NULL.
     """
-    values = df.groupBy(F.col(check.column).alias("v")).agg(F.count(F.lit(1)).alias("c"))
-    totals = values.agg(
-        F.coalesce(F.sum("c"), F.lit(0)).alias("n"),
-        F.count("v").alias("d"),
-        F.coalesce(F.sum(F.when(F.col("v").isNotNull(), F.col("c"))), F.lit(0)).alias(f"present_{check.column}"),
+    values = df.groupBy(F.col(column).alias("v")).agg(F.count(F.lit(1)).alias("c"))
+    totals = values.selectExpr(
+        "coalesce(sum(c), 0) AS n",
+        "count(v) AS d",
+        f"coalesce(sum(CASE WHEN v IS NOT NULL THEN c END), 0) AS `present_{column}`",
     )
-    excess = F.col("n") - F.col("d")
-    rows = [_result("unique", check.column, excess, total_rows=F.col("n"), unique_values=F.col("d"), duplicate_rows=excess)]
-    if and_not_null:
-        rows.append(_not_null(NotNull(check.column)))
-    return totals.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    rows = [_row("unique", column, "(n - d)", total_rows="n", unique_values="d", duplicate_rows="n - d")]
+    return _results(totals, rows + [_not_null(column)] if and_not_null else rows)
 
 
 def _references_pass(df: DataFrame, check: References) -> DataFrame:
     totals = orphan_count(df, check.column, check.parent, check.parent_column)
-    lost = F.col("orphaned_rows")
-    return totals.select(_result("referential_integrity", check.column, lost, orphaned_rows=lost).alias("r")).select("r.*")
+    row = _row("referential_integrity", check.column, "orphaned_rows", orphaned_rows="orphaned_rows")
+    return _results(totals, [row])
 
 
 def run_suite(df: DataFrame, checks: list[Check], layer: str, table: str) -> DataFrame:
@@ -126,20 +120,20 @@ def run_suite(df: DataFrame, checks: list[Check], layer: str, table: str) -> Dat
     unique = [c for c in checks if isinstance(c, Unique)]
     present = sorted(not_null - {c.column for c in unique})
     ranges = {f"bad_{i}": c for i, c in enumerate(c for c in checks if isinstance(c, InRange))}
-    parts = [_distinct_pass(df, c, c.column in not_null) for c in unique]
+    parts = [_distinct_pass(df, c.column, c.column in not_null) for c in unique]
     if present or ranges:
         sums = df.agg(
             F.count(F.lit(1)).alias("n"),
             *[F.count(c).alias(f"present_{c}") for c in present],
             *[F.count_if(outside(c.column, c.min_value, c.max_value)).alias(name) for name, c in ranges.items()],
         )
-        rows = [_not_null(NotNull(c)) for c in present]
+        rows = [_not_null(c) for c in present]
         for name, c in ranges.items():
-            limits = {"min_value": F.lit(c.min_value), "max_value": F.lit(c.max_value)}
+            low, high = ("NULL" if x is None else str(x) for x in (c.min_value, c.max_value))
             rows.append(
-                _result("range", c.column, F.col(name), total_rows=F.col("n"), out_of_range_rows=F.col(name), **limits)
+                _row("range", c.column, name, total_rows="n", out_of_range_rows=name, min_value=low, max_value=high)
             )
-        parts.append(sums.select(F.explode(F.array(*rows)).alias("r")).select("r.*"))
+        parts.append(_results(sums, rows))
     parts += [_references_pass(df, c) for c in checks if isinstance(c, References)]
     return union_all(parts).select(F.lit(layer).alias("layer"), F.lit(table).alias("table_name"), "*")
 

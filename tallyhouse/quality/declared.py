@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -185,40 +185,44 @@ def as_test(rule: Rule, tables: dict[str, DataFrame], ctx: RunContext) -> Test:
     return Test(rule.name, query, where=rule.where, severity=rule.severity)
 
 
-def _row_rule(rule: Rule, ctx: RunContext) -> Column | None:
+def _row_rule(rule: Rule) -> str | None:
     """The rule as a condition that marks a violating row, where one row decides."""
     if rule.kind == "not_null":
-        return F.col(rule.column).isNull()
+        return f"{rule.column} IS NULL"
     if rule.kind == "expression_is_true":
-        return ~F.expr(rule.expression)
+        return f"NOT ({rule.expression})"
     if rule.kind == "accepted_range":
-        return V.outside(rule.column, rule.low, rule.high)
+        return f"NOT ({rule.column} >= {rule.low}) OR NOT ({rule.column} <= {rule.high})"
     return None
 
 
+def _literal(value: Any) -> str:
+    return str(value).upper() if isinstance(value, bool) else "'" + str(value).replace("'", "\\'") + "'"
+
+
 def _failures(
     df: DataFrame, rules: dict[int, Rule], tables: dict[str, DataFrame], ctx: RunContext
 ) -> list[DataFrame]:
     """(test number, failures) of the rules of one table, to be summed per test."""
     parts: list[DataFrame] = []
-    sums: dict[int, Column] = {}
-    offending: list[Column] = []
+    sums: dict[int, str] = {}
+    offending: list[str] = []
 
     def numbered(i: int, failures: DataFrame) -> DataFrame:
         return failures.toDF("failures").select(F.lit(i).alias("test_no"), "failures")
 
     for i, rule in rules.items():
-        bad = _row_rule(rule, ctx)
-        scope = F.expr(rule.where) if rule.where else F.lit(True)
+        bad = _row_rule(rule)
+        scope = rule.where or "TRUE"
         if bad is not None:
-            sums[i] = F.count_if(scope & bad)
+            sums[i] = f"count_if(({scope}) AND ({bad}))"
         elif rule.kind == "accepted_values":
-            sums[i] = F.lit(0).cast("bigint")
+            sums[i] = "0L"
             boolean = isinstance(df.schema[rule.column].dataType, T.BooleanType)
             if not (boolean and set(rule.values) == {True, False}):
-                text = F.col(rule.column).cast("string")
-                wrong = scope & ~F.col(rule.column).isin(list(rule.values))
-                offending.append(F.when(wrong, F.struct(F.lit(i).alias("test_no"), text.alias("value"))))
+                wrong = f"({scope}) AND {rule.column} NOT IN ({', '.join(_literal(v) for v in rule.values)})"
+                found = f"struct({i} AS test_no, CAST({rule.column} AS STRING) AS value)"
+                offending.append(f"CASE WHEN {wrong} THEN {found} END")
         elif rule.kind == "relationships":
             rows = df.filter(scope)
             parts.append(numbered(i, V.orphan_count(rows, rule.column, tables[rule.to], rule.field)))
@@ -226,13 +230,13 @@ def _failures(
             found = as_test(rule, tables, ctx).failing_rows(df)
             parts.append(numbered(i, found.agg(F.count(F.lit(1)))))
     if sums:
-        wide = df.agg(*[c.alias(f"f{i}") for i, c in sums.items()])
-        pairs = [F.struct(F.lit(i).alias("test_no"), F.col(f"f{i}").alias("failures")) for i in sums]
-        parts.append(wide.select(F.explode(F.array(*pairs)).alias("p")).select("p.*"))
+        wide = df.selectExpr("count(1) AS n", *[f"{c} AS f{i}" for i, c in sums.items()])
+        pairs = ", ".join(f"struct({i} AS test_no, f{i} AS failures)" for i in sums)
+        parts.append(wide.selectExpr(f"inline(array({pairs}))"))
     if offending:
         # good rows emit nothing, so this counts distinct bad values at little cost
-        values = df.select(F.explode(F.filter(F.array(*offending), lambda x: x.isNotNull())).alias("p")).select("p.*")
-        parts.append(values.distinct().select("test_no", F.lit(1).cast("bigint").alias("failures")))
+        values = df.selectExpr(f"inline(filter(array({', '.join(offending)}), x -> x IS NOT NULL))")
+        parts.append(values.distinct().selectExpr("test_no", "1L AS failures"))
     return parts
 
 
@@ -245,13 +249,10 @@ def run_declared(tables: dict[str, DataFrame], ctx: RunContext) -> DataFrame:
         parts += _failures(tables[table], rules, tables, ctx)
     # about a hundred rows come in, so one small shuffle adds them up
     found = union_all(parts).groupBy("test_no").agg(F.sum("failures").alias("failures"))
-    facts = F.array(
-        *[F.struct(F.lit(t).alias("table_name"), F.lit(r.name).alias("test"), F.lit(r.severity).alias("severity")) for t, r in flat]
-    )
+    facts = ", ".join(f"struct('{t}' AS table_name, '{r.name}' AS test, '{r.severity}' AS severity)" for t, r in flat)
+    named = found.selectExpr(f"inline(array(get(array({facts}), test_no)))", "failures")
     status = F.when(F.col("severity") == "warn", grade(F.col("failures"), "warn")).otherwise(grade(F.col("failures")))
-    return found.select(F.get(facts, F.col("test_no")).alias("t"), "failures").select(
-        "t.*", "failures"
-    ).withColumn("status", status)
+    return named.select("table_name", "test", "severity", "failures", status.alias("status"))
 
 
 def failing_tests(tables: dict[str, DataFrame], graded: DataFrame, ctx: RunContext) -> dict[str, list[Test]]:
