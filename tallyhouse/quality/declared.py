@@ -7,7 +7,6 @@ they shuffle nothing but the key.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass
 from typing import Any
 
