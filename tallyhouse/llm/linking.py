@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import Stages, union_all
+from tallyhouse.llm.common import Stages
 
 #: Buckets up to this size emit all pairs, so at most this many for each row.
 SMALL_BUCKET = 8
 
 
-def candidate_pairs(members: DataFrame) -> DataFrame:
+def candidate_pairs(members: DataFrame, stages: Stages) -> DataFrame:
     """Distinct pairs (a, b), a < b, from ``members`` (key, id; an id once per key).
 
     In a small bucket all pairs; in a larger one every member with three leaders: the
@@ -19,18 +21,39 @@ def candidate_pairs(members: DataFrame) -> DataFrame:
     thus follows the number of members. Members of a large class reach each other
     through its leaders; a small class hidden in a large bucket has its other buckets.
     """
-    sizes = members.groupBy("key").agg(
-        F.count("*").alias("n"), F.min("id").alias("first"), F.max("id").alias("last"), F.min(F.xxhash64("id")).alias("place")
-    )
-    shared = members.join(sizes.where("n > 1"), "key")
-    middle = shared.where(F.xxhash64("id") == F.col("place")).groupBy("key").agg(F.min("id").alias("middle"))
-    large = shared.where(F.col("n") > SMALL_BUCKET)
-    stars = [large.select(F.col(leader).alias("a"), F.col("id").alias("b")) for leader in ("first", "last")]
-    stars.append(large.join(middle, "key").select(F.col("middle").alias("a"), F.col("id").alias("b")))
-    small = shared.where(F.col("n") <= SMALL_BUCKET).select("key", "id")
-    stars.append(small.select("key", F.col("id").alias("a")).join(small.select("key", F.col("id").alias("b")), "key").where("a < b").select("a", "b"))
-    pairs = union_all(stars).where("a <> b")
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    # most keys have one id; what follows reads only the others
+    ends = stages.write("ends", members.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last"))
+    shared = stages.write("shared", members.join(ends, "key"))
+    sizes = shared.groupBy("key").agg(F.count("*").alias("n"), F.min(F.xxhash64("id")).alias("place"))
+    large = stages.write("large", sizes.where(F.col("n") > SMALL_BUCKET))
+    middle = shared.withColumn("place", F.xxhash64("id")).join(large, ["key", "place"]).groupBy("key").agg(F.min("id").alias("middle"))
+    led = shared.join(stages.write("middle", middle), "key")
+    small = shared.join(large, "key", "left_anti").select("key", "id")
+    both = small.select("key", F.col("id").alias("a")).join(small.select("key", F.col("id").alias("b")), "key").where("a < b")
+    leaders = F.explode(F.array("first", "last", "middle"))
+    pairs = led.select(leaders.alias("a"), F.col("id").alias("b")).where("a <> b").unionByName(both.select("a", "b"))
+    pairs = stages.write("pairs", pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    stages.drop("ends", "shared", "large", "middle")
+    stages.release()
+    return pairs
+
+
+def classes_of(pairs: DataFrame, verify: Callable[[DataFrame], DataFrame], stages: Stages) -> DataFrame:
+    """(id, class) of all ids in verified ``pairs`` (a, b).
+
+    First every id is verified against the smallest one it was paired with. That links
+    most of a large class, and pairs within what is linked need no look any more; then
+    all pairs that lead elsewhere are verified.
+    """
+    first = stages.write("first", pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
+    links = stages.write("links_first", verify(first))
+    linked = stages.write("linked", components(links, stages))
+    of_a = linked.select(F.col("id").alias("a"), F.col("class").alias("class_a"))
+    of_b = linked.select(F.col("id").alias("b"), F.col("class").alias("class_b"))
+    apart = F.coalesce("class_a", "a") != F.coalesce("class_b", "b")
+    rest = pairs.join(first, ["a", "b"], "left_anti").join(of_a, "a", "left").join(of_b, "b", "left").where(apart).select("a", "b")
+    others = stages.write("links_rest", verify(stages.write("rest", rest)))
+    return components(links.unionByName(others), stages)
 
 
 def components(links: DataFrame, stages: Stages) -> DataFrame:
