@@ -20,6 +20,7 @@ _MODULES = [
     "order_minhash",
     "topk_search",
     "fingerprints",
+    "substring_dedup",
     "lm_scoring",
     "language_id",
     "url_filter",
