@@ -204,9 +204,15 @@ def column_values(
     return ordered if max_records is None else ordered.limit(max_records)
 
 
-def value_list(df: DataFrame, column: str, max_records: int, default: list | None = None, **options: Any) -> list:
-    """The values themselves, for ``pivot``. They come to the driver, so a bound is due."""
-    rows = column_values(df, column, max_records=max_records, **options).collect()
+#: Values that may come to the driver when no other bound is given.
+MOST_VALUES = 100_000
+
+
+def value_list(df: DataFrame, column: str, max_records: int = MOST_VALUES, default: list | None = None, **options: Any) -> list:
+    """All values, for ``pivot``. They come to the driver, so more than ``max_records`` of them raise."""
+    rows = column_values(df, column, max_records=max_records + 1, **options).collect()
+    if len(rows) > max_records:
+        raise ValueError(f"{column} has more than {max_records} values")
     return [r["value"] for r in rows] or (default or [])
 
 

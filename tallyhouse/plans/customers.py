@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyhouse.context import RunContext
@@ -45,11 +46,13 @@ def customer_metrics(stg: DataFrame, ctx: RunContext) -> DataFrame:
             F.var_pop(total).alias("variance"),
         )
     )
-    # merged spread: what lies within the months, and between their means
-    revenue = F.col("revenue").cast("double")
-    within = F.sum(F.col("variance") * F.col("n"))
-    between = F.sum(revenue * revenue / F.col("n")) - F.pow(F.sum("revenue").cast("double"), F.lit(2)) / F.sum("n")
-    spread = F.sqrt(F.greatest(within + between, F.lit(0.0)) / (F.sum("n") - 1))
+    # merged spread: what lies within the months, and between their means; the customer's
+    # mean comes first, as a difference of two squares would lose small spreads of large sums
+    own = W.partitionBy("customer_id")
+    mean = F.sum("revenue").over(own).cast("double") / F.sum("n").over(own)
+    off = F.col("revenue").cast("double") / F.col("n") - mean
+    months = months.withColumn("between", F.col("n") * off * off)
+    spread = F.sqrt((F.sum(F.col("variance") * F.col("n")) + F.sum("between")) / (F.sum("n") - 1))
     return (
         months.groupBy("customer_id")
         .agg(

@@ -85,7 +85,8 @@ def monthly_trend(monthly: DataFrame) -> DataFrame:
         .agg(
             F.sum("total_revenue").alias("monthly_revenue"),
             F.sum("transaction_count").alias("total_transactions"),
-            F.count_distinct("customer_key").alias("active_customers"),
+            # a customer has one row per month
+            F.count("customer_key").alias("active_customers"),
         )
         .orderBy("year_month")
     )

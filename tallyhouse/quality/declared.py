@@ -191,7 +191,8 @@ def _row_rule(rule: Rule) -> str | None:
     if rule.kind == "expression_is_true":
         return f"NOT ({rule.expression})"
     if rule.kind == "accepted_range":
-        return f"NOT ({rule.column} >= {rule.low}) OR NOT ({rule.column} <= {rule.high})"
+        bounds = ((">=", rule.low), ("<=", rule.high))
+        return " OR ".join(f"NOT ({rule.column} {sign} {bound})" for sign, bound in bounds if bound is not None)
     return None
 
 

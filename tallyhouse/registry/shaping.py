@@ -84,7 +84,7 @@ _PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 )
 def pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
-    values = S.value_list(orders, "o_orderpriority", max_records=100)
+    values = S.value_list(orders, "o_orderpriority")
     counts = orders.groupBy("o_orderstatus").agg(*S.pivot("o_orderpriority", values, prefix="n_"))
     # distinct customers: each once per status and priority, so that no row multiplies
     buyers = orders.select("o_orderstatus", "o_orderpriority", "o_custkey").distinct().groupBy("o_orderstatus")

@@ -202,3 +202,10 @@ def test_repeat_rows(make):
     got = repeat_rows(df, "n", per_task=10)
     assert got.columns == ["x"]
     assert rows(got.groupBy("x").count()) == [("a", 1), ("b", 25), ("d", 10)]
+
+
+def test_value_list_never_cuts(spark):
+    df = spark.range(150).select(F.col("id").cast("string").alias("v"))
+    assert len(S.value_list(df, "v")) == 150
+    with pytest.raises(ValueError):
+        S.value_list(df, "v", 100)
