@@ -110,6 +110,16 @@ def test_lines_keep_first_occurrence(docs, rows):
     assert got[1][0]["class"] == "y"
 
 
+def test_lines_of_a_text_are_normalised_alike(spark):
+    rng = random.Random(8)
+    signs = "ab1 \t\r\n\n ,.;-_~ \u00a0\u00bf\u2003\u3002\u00c9\u03a3\u03c3"
+    texts = ["", "\n", " ", "  a  b ", "a ,b", "a, b\n", *("".join(rng.choice(signs) for _ in range(40)) for _ in range(300))]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    whole = F.transform(line_dedup.normalised_lines(F.col("text")), lambda x: F.trim(x))
+    single = F.transform(F.split("text", "\n"), line_dedup.normalised)
+    assert [r for r in frame.select("text", whole.alias("a"), single.alias("b")).collect() if r["a"] != r["b"]] == []
+
+
 def test_simhash_is_the_weighted_majority(spark):
     line = spark.createDataFrame([(7, w) for w in prose(9, 30).split()], "line long, word string")
     votes = np.zeros(64)
