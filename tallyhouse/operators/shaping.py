@@ -164,10 +164,14 @@ def union_by_prefix(spark: SparkSession, schema: str, prefix: str, exclude: str
     return union_by_pattern(spark, schema, f"{prefix}%", exclude, **options)
 
 
-def star(df: DataFrame, except_: Sequence[str] | None = None, prefix: str = "", suffix: str = "") -> list[Column]:
-    """All columns but some (names compared without case), optionally renamed."""
+def star(df: DataFrame, except_: Sequence[str] | None = None, prefix: str = "", suffix: str = "", relation_alias: str = "") -> list[Column]:
+    """All columns but some (names compared without case), optionally renamed.
+
+    ``relation_alias`` is the alias ``df`` has in a join, where its names alone may be ambiguous.
+    """
     gone = _lower(except_)
-    return [F.col(c).alias(f"{prefix}{c}{suffix}") for c in df.columns if c.lower() not in gone]
+    of = f"`{relation_alias}`." if relation_alias else ""
+    return [F.col(f"{of}`{c}`").alias(f"{prefix}{c}{suffix}") for c in df.columns if c.lower() not in gone]
 
 
 def group_by_first(df: DataFrame, n: int):

@@ -103,6 +103,10 @@ def test_star_and_group_by(make):
     df = make("field_1 string, field_2 string, field_3 int", [("a", "b", 1), ("a", "b", 2), ("c", "e", 4)])
     assert df.select(*S.star(df, ["FIELD_3"])).columns == ["field_1", "field_2"]
     assert df.select(*S.star(df, prefix="p_", suffix="_s")).columns == ["p_field_1_s", "p_field_2_s", "p_field_3_s"]
+    both = df.alias("l").join(df.alias("r"), F.col("l.field_1") == F.col("r.field_1"))
+    chosen = both.select(*S.star(df, ["field_2"], relation_alias="l"), *S.star(df, ["field_2"], prefix="r_", relation_alias="r"))
+    assert chosen.columns == ["field_1", "field_3", "r_field_1", "r_field_3"]
+    assert chosen.count() >= df.count()
     assert rows(S.group_by_first(df, 2).agg(F.sum("field_3"))) == [("a", "b", 3), ("c", "e", 4)]
 
 
