@@ -46,6 +46,18 @@ COMPARISONS = {
 }
 
 
+def _over_distinct(agg: str, value: Column) -> Column:
+    """``agg`` over the distinct values of a group."""
+    if agg in ("min", "max"):  # the same with and without repeats
+        return getattr(F, agg)(value)
+    if agg in ("avg", "mean"):
+        return F.sum_distinct(value) / F.nullif(F.count_distinct(value), F.lit(0))
+    known = {"sum": F.sum_distinct, "count": F.count_distinct}
+    if agg not in known:
+        raise ValueError(f"no distinct form of {agg}; there are avg, count, max, mean, min and sum")
+    return known[agg](value)
+
+
 def pivot(
     column: str,
     values: Sequence[Any],
@@ -71,7 +83,7 @@ def pivot(
         hit = COMPARISONS[cmp](F.col(column), F.lit(value))
         picked = F.when(hit, value_of(then_value)).otherwise(value_of(else_value))
         if distinct:
-            result = {"sum": F.sum_distinct, "count": F.count_distinct}[agg](picked)
+            result = _over_distinct(agg, picked)
         else:
             result = getattr(F, agg)(picked)
         name = f"{prefix}{value}{suffix}"

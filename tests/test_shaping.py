@@ -99,6 +99,15 @@ def test_union_by_pattern(spark, make):
         S.union_by_prefix(spark, "default", "nothing_")
 
 
+def test_pivot_over_distinct_values(make):
+    df = make("k string, c string, v int", [("a", "x", 1), ("a", "x", 1), ("a", "x", 4), ("a", "y", None), ("b", "y", 7)])
+    for agg, expected in [("avg", [("a", 2.5, None), ("b", None, 7.0)]), ("max", [("a", 4, None), ("b", None, 7)]), ("sum", [("a", 5, None), ("b", None, 7)])]:
+        columns = S.pivot("c", ["x", "y"], agg, then_value=F.col("v"), else_value=None, distinct=True)
+        assert sorted(tuple(r) for r in df.groupBy("k").agg(*columns).collect()) == expected
+    with pytest.raises(ValueError):
+        S.pivot("c", ["x"], "stddev", distinct=True)
+
+
 def test_star_and_group_by(make):
     df = make("field_1 string, field_2 string, field_3 int", [("a", "b", 1), ("a", "b", 2), ("c", "e", 4)])
     assert df.select(*S.star(df, ["FIELD_3"])).columns == ["field_1", "field_2"]
