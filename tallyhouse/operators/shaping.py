@@ -123,28 +123,31 @@ def union_relations(
 ) -> DataFrame:
     """UNION ALL by column name, with missing columns NULL and the table's name.
 
-    A column takes the type it has in the first table that has it, unless
-    overridden. ``where`` filters every table before the union.
+    A column takes the name and type it has in the first table that has it, unless the
+    type is overridden. Names are compared without case. ``where`` filters every table before the union.
     """
     if include and exclude:
         raise ValueError("give include or exclude, not both")
-    override = column_override or {}
+    override = {c.lower(): kind for c, kind in (column_override or {}).items()}
+    names: dict[str, str] = {}
     kinds: dict[str, Any] = {}
     for df in relations.values():
         for field in df.schema.fields:
             low = field.name.lower()
             wanted = low in _lower(include) if include else low not in _lower(exclude)
             if wanted:
-                kinds.setdefault(field.name, override.get(field.name, field.dataType))
+                names.setdefault(low, field.name)
+                kinds.setdefault(low, override.get(low, field.dataType))
     if not kinds:
         raise ValueError(f"no columns left to union for {list(relations)}")
 
     def shaped(name: str, df: DataFrame) -> DataFrame:
         rows = df.filter(where) if where else df
         tag = [F.lit(name).alias(source_column)] if source_column else []
+        own = {c.lower(): c for c in df.columns}
         return rows.select(
             *tag,
-            *[(F.col(c) if c in df.columns else F.lit(None)).cast(kind).alias(c) for c, kind in kinds.items()],
+            *[(F.col(f"`{own[low]}`") if low in own else F.lit(None)).cast(kind).alias(names[low]) for low, kind in kinds.items()],
         )
 
     return union_all([shaped(name, df) for name, df in relations.items()])

@@ -99,6 +99,12 @@ def test_union_by_pattern(spark, make):
         S.union_by_prefix(spark, "default", "nothing_")
 
 
+def test_union_relations_names_differ_in_case(make):
+    both = S.union_relations({"a": make("ID int, x string", [(1, "p")]), "b": make("id int, y string", [(2, "q")])}, {"id": "bigint"})
+    assert both.dtypes[1] == ("ID", "bigint") and both.columns[1:] == ["ID", "x", "y"]
+    assert sorted(r["ID"] for r in both.collect()) == [1, 2]
+
+
 def test_pivot_over_distinct_values(make):
     df = make("k string, c string, v int", [("a", "x", 1), ("a", "x", 1), ("a", "x", 4), ("a", "y", None), ("b", "y", 7)])
     for agg, expected in [("avg", [("a", 2.5, None), ("b", None, 7.0)]), ("max", [("a", 4, None), ("b", None, 7)]), ("sum", [("a", 5, None), ("b", None, 7)])]:
