@@ -7,20 +7,31 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import Stages
+from tallyhouse.llm.common import Stages, union_all
 
 #: Buckets up to this size emit all pairs, so at most this many for each row.
 SMALL_BUCKET = 8
 
 
-def candidate_pairs(members: DataFrame, stages: Stages) -> DataFrame:
-    """Distinct pairs (a, b), a < b, from ``members`` (key, id; an id once per key).
+def candidate_pairs(members: list[DataFrame], stages: Stages) -> DataFrame:
+    """Distinct pairs (a, b), a < b, from ``members`` (key, id; an id once per key, a key in one frame only).
 
     In a small bucket all pairs; in a larger one every member with three leaders: the
     smallest id, the largest, and the one with the smallest hash. The number of pairs
     thus follows the number of members. Members of a large class reach each other
     through its leaders; a small class hidden in a large bucket has its other buckets.
+    One frame is looked through after the other, and its shuffle files are released.
     """
+    found = []
+    for some in members:
+        found.append(bucket_pairs(some, stages))
+        stages.drop("ends", "shared", "large", "middle")
+        stages.release()
+    return stages.write("pairs", union_all(found).distinct())
+
+
+def bucket_pairs(members: DataFrame, stages: Stages) -> DataFrame:
+    """Distinct pairs of one frame of ``candidate_pairs``."""
     # most keys have one id; what follows reads only the others
     ends = stages.write("ends", members.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last"))
     shared = stages.write("shared", members.join(ends, "key"))
@@ -32,10 +43,7 @@ def candidate_pairs(members: DataFrame, stages: Stages) -> DataFrame:
     both = small.select("key", F.col("id").alias("a")).join(small.select("key", F.col("id").alias("b")), "key").where("a < b")
     leaders = F.explode(F.array("first", "last", "middle"))
     pairs = led.select(leaders.alias("a"), F.col("id").alias("b")).where("a <> b").unionByName(both.select("a", "b"))
-    pairs = stages.write("pairs", pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    stages.drop("ends", "shared", "large", "middle")
-    stages.release()
-    return pairs
+    return stages.write("some_pairs", pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
 
 def classes_of(pairs: DataFrame, verify: Callable[[DataFrame], DataFrame], stages: Stages) -> DataFrame:

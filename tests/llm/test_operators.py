@@ -286,3 +286,10 @@ def test_op6_digest_columns(spark, tmp_path):
         half = len(text) // 2
         edited = text[: len(text) - half] + after[:half]
         assert got[doc]["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest() and got[doc]["n_chars"] == len(text)
+
+
+def test_lines_with_a_typo_in_a_long_word(spark):
+    lines = [f"{w}shire is seen from the {prose(20 + i, 30)}" for i, w in enumerate(WORDS)]
+    texts = [*lines, *(x.replace("shire", "shirx") for x in lines)]
+    got = line_dedup.dedup_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "doc_id", "text")
+    assert got.agg(F.sum("n_removed")).first()[0] > 0.9 * len(lines)
