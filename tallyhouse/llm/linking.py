@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import random
 from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,27 +13,38 @@ from tallyhouse.llm.common import Stages, union_all
 
 #: Buckets up to this size emit all pairs, so at most this many for each row.
 SMALL_BUCKET = 8
+#: New leaders a round takes of an unsettled bucket: FEW in the first, twice as many in each further one up to MANY.
+FEW, MANY = 4, 64
 
 
-def candidate_pairs(members: list[DataFrame], stages: Stages) -> DataFrame:
-    """Distinct pairs (a, b), a < b, from ``members`` (key, id; an id once per key, a key in one frame only).
+class Candidates(NamedTuple):
+    """Distinct ``pairs`` (a, b), a < b, and of the large buckets the ``members`` and the ``leaders`` (key, id) they were paired with."""
+
+    pairs: DataFrame
+    members: DataFrame
+    leaders: DataFrame
+
+
+def candidate_pairs(members: list[DataFrame], stages: Stages) -> Candidates:
+    """Pairs from ``members`` (key, id; an id once per key, a key in one frame only).
 
     In a small bucket all pairs; in a larger one every member with three leaders: the
     smallest id, the largest, and the one with the smallest hash. The number of pairs
-    thus follows the number of members. Members of a large class reach each other
-    through its leaders; a small class hidden in a large bucket has its other buckets.
-    One frame is looked through after the other, and its shuffle files are released.
+    thus follows the number of members. ``classes_of`` goes on with the members that are
+    linked to no leader. One frame is looked through after the other, and its shuffle
+    files are released.
     """
     found = []
     for some in members:
         found.append(bucket_pairs(some, stages))
         stages.drop("ends", "shared", "large", "middle")
         stages.release()
-    return stages.write("pairs", union_all(found).distinct())
+    pairs, large, leaders = (union_all(list(x)) for x in zip(*found, strict=True))
+    return Candidates(stages.write("pairs", pairs.distinct()), large, leaders)
 
 
-def bucket_pairs(members: DataFrame, stages: Stages) -> DataFrame:
-    """Distinct pairs of one frame of ``candidate_pairs``."""
+def bucket_pairs(members: DataFrame, stages: Stages) -> Candidates:
+    """``candidate_pairs`` of one frame."""
     # most keys have one id; what follows reads only the others
     ends = stages.write("ends", members.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last"))
     shared = stages.write("shared", members.join(ends, "key"))
@@ -43,16 +56,21 @@ def bucket_pairs(members: DataFrame, stages: Stages) -> DataFrame:
     both = small.select("key", F.col("id").alias("a")).join(small.select("key", F.col("id").alias("b")), "key").where("a < b")
     leaders = F.explode(F.array("first", "last", "middle"))
     pairs = led.select(leaders.alias("a"), F.col("id").alias("b")).where("a <> b").unionByName(both.select("a", "b"))
-    return stages.write("some_pairs", pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    pairs = stages.write("some_pairs", pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    heads = led.where("id = first OR id = last OR id = middle").select("key", "id")
+    return Candidates(pairs, stages.write("members", led.select("key", "id")), stages.write("leaders", heads))
 
 
-def classes_of(pairs: DataFrame, verify: Callable[[DataFrame], DataFrame], stages: Stages) -> DataFrame:
-    """(id, class) of all ids in verified ``pairs`` (a, b).
+def classes_of(candidates: Candidates, verify: Callable[[DataFrame], DataFrame], stages: Stages) -> DataFrame:
+    """(id, class) of all ids in verified pairs (a, b).
 
     First every id is verified against the smallest one it was paired with. That links
     most of a large class, and pairs within what is linked need no look any more; then
-    all pairs that lead elsewhere are verified.
+    all pairs that lead elsewhere are verified. A member of a large bucket that is in no
+    leader's class by then is unsettled: round by round some of the unsettled become
+    leaders and are verified against all members outside their class, until none is left.
     """
+    pairs = candidates.pairs
     first = stages.write("first", pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
     links = stages.write("links_first", verify(first))
     linked = stages.write("linked", components(links, stages))
@@ -60,8 +78,35 @@ def classes_of(pairs: DataFrame, verify: Callable[[DataFrame], DataFrame], stage
     of_b = linked.select(F.col("id").alias("b"), F.col("class").alias("class_b"))
     apart = F.coalesce("class_a", "a") != F.coalesce("class_b", "b")
     rest = pairs.join(first, ["a", "b"], "left_anti").join(of_a, "a", "left").join(of_b, "b", "left").where(apart).select("a", "b")
-    others = stages.write("links_rest", verify(stages.write("rest", rest)))
-    return components(links.unionByName(others), stages)
+    found = [links, stages.write("links_rest", verify(stages.write("rest", rest)))]
+    leaders, turn = [candidates.leaders], 0
+    while True:
+        classes = components(union_all(found), stages)
+        class_of = F.coalesce("class", "id").alias("class")
+        members = stages.write("labelled", candidates.members.join(classes, "id", "left").select("key", "id", class_of))
+        led = union_all(leaders).join(members, ["key", "id"]).select("key", "class").distinct()
+        unsettled = stages.write("unsettled", members.join(led, ["key", "class"], "left_anti"))
+        if not unsettled.limit(1).count():
+            return classes
+        turn += 1
+        more = new_leaders(unsettled, turn)
+        leaders.append(stages.write("more", more))
+        heads = leaders[-1].join(members, ["key", "id"]).select("key", F.col("id").alias("head"), F.col("class").alias("of"))
+        met = members.join(stages.write("heads", heads), "key").where(F.col("class") != F.col("of"))
+        tried = stages.write("tried", met.select(F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b")).distinct())
+        found.append(stages.write("links_more", verify(tried)))
+        stages.drop("labelled", "unsettled", "heads", "tried")
+        stages.release()
+
+
+def new_leaders(unsettled: DataFrame, turn: int) -> DataFrame:
+    """key, id of some of the ``unsettled`` of each key, at least one."""
+    number = min(MANY, FEW << (turn - 1))
+    # the id nearest to each of some random numbers: xor undoes itself
+    numbers = [random.Random(f"{turn} {j}").getrandbits(63) for j in range(number)]
+    nearest = [F.min(F.col("id").bitwiseXOR(F.lit(x))).alias(f"x{j}") for j, x in enumerate(numbers)]
+    ids = F.array_distinct(F.array(*(F.col(f"x{j}").bitwiseXOR(F.lit(x)) for j, x in enumerate(numbers))))
+    return unsettled.groupBy("key").agg(*nearest).select("key", F.explode(ids).alias("id"))
 
 
 def components(links: DataFrame, stages: Stages) -> DataFrame:

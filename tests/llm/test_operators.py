@@ -13,6 +13,7 @@ from tallyhouse.llm import (
     fingerprints,
     language_id,
     line_dedup,
+    linking,
     lm_scoring,
     mixing,
     order_minhash,
@@ -21,6 +22,7 @@ from tallyhouse.llm import (
     topk_search,
     url_filter,
 )
+from tallyhouse.llm.common import Stages
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id_ string, class string, score double"
 WORDS = "amber birch cedar delta ember fjord grove haven inlet juniper kelp lagoon meadow north opal".split()
@@ -293,3 +295,15 @@ def test_lines_with_a_typo_in_a_long_word(spark):
     texts = [*lines, *(x.replace("shire", "shirx") for x in lines)]
     got = line_dedup.dedup_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "doc_id", "text")
     assert got.agg(F.sum("n_removed")).first()[0] > 0.9 * len(lines)
+
+
+def test_links_within_a_large_bucket(spark):
+    alike = [{5, 6}, {11, 30, 47}, {60, 61, 62}, set(range(100, 400))]
+    members = spark.range(500).select(F.lit(7).cast("long").alias("key"), "id")
+    links = spark.createDataFrame([(a, b) for some in alike for a in some for b in some if a < b], "a long, b long")
+    stages = Stages(spark)
+    classes = linking.classes_of(linking.candidate_pairs([members], stages), lambda pairs: pairs.join(links, ["a", "b"]), stages)
+    found = defaultdict(set)
+    for r in classes.collect():
+        found[r["class"]].add(r["id"])
+    assert sorted(map(min, found.values())) == [5, 11, 60, 100] and all(some in alike for some in found.values())
