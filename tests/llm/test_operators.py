@@ -307,3 +307,13 @@ def test_links_within_a_large_bucket(spark):
     for r in classes.collect():
         found[r["class"]].add(r["id"])
     assert sorted(map(min, found.values())) == [5, 11, 60, 100] and all(some in alike for some in found.values())
+
+
+def test_simhash_of_a_heavy_line(spark, monkeypatch):
+    words = spark.range(9_000_000).select(F.lit(7).cast("long").alias("line"), F.lit("w" * 16).alias("word"))
+    assert line_dedup.simhash(words).first()["simhash"] == words.select(F.xxhash64("word")).first()[0]
+    # the same lines are removed when every line is taken for a long one
+    docs = spark.createDataFrame([(i, prose(i % 9, 30) + (" end" if i > 9 else "")) for i in range(20)], "doc_id long, text string")
+    light = line_dedup.dedup_lines(docs, "doc_id", "text").collect()
+    monkeypatch.setattr(line_dedup, "SHORT", 1)
+    assert Counter(line_dedup.dedup_lines(docs, "doc_id", "text").collect()) == Counter(light)
