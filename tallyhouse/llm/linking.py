@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import random
 from collections.abc import Callable
 from typing import NamedTuple
 
@@ -13,8 +12,8 @@ from tallyhouse.llm.common import Stages, union_all
 
 #: Buckets up to this size emit all pairs, so at most this many for each row.
 SMALL_BUCKET = 8
-#: New leaders a round takes of an unsettled bucket: FEW in the first, twice as many in each further one up to MANY.
-FEW, MANY = 4, 64
+#: New leaders that the first round takes of an unsettled bucket, about; each further round takes four times as many.
+FEW = 16
 
 
 class Candidates(NamedTuple):
@@ -101,12 +100,11 @@ def classes_of(candidates: Candidates, verify: Callable[[DataFrame], DataFrame],
 
 def new_leaders(unsettled: DataFrame, turn: int) -> DataFrame:
     """key, id of some of the ``unsettled`` of each key, at least one."""
-    number = min(MANY, FEW << (turn - 1))
-    # the id nearest to each of some random numbers: xor undoes itself
-    numbers = [random.Random(f"{turn} {j}").getrandbits(63) for j in range(number)]
-    nearest = [F.min(F.col("id").bitwiseXOR(F.lit(x))).alias(f"x{j}") for j, x in enumerate(numbers)]
-    ids = F.array_distinct(F.array(*(F.col(f"x{j}").bitwiseXOR(F.lit(x)) for j, x in enumerate(numbers))))
-    return unsettled.groupBy("key").agg(*nearest).select("key", F.explode(ids).alias("id"))
+    place = F.xxhash64("id", F.lit(turn))
+    sizes = unsettled.groupBy("key").agg(F.count("*").alias("n"), F.min(place).alias("lowest"))
+    share = F.lit(float(FEW * 4 ** (turn - 1))) / F.col("n")
+    drawn = F.pmod(place, F.lit(1 << 20)) < share * (1 << 20)
+    return unsettled.join(sizes, "key").where(drawn | (place == F.col("lowest"))).select("key", "id")
 
 
 def components(links: DataFrame, stages: Stages) -> DataFrame:

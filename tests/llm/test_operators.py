@@ -317,3 +317,17 @@ def test_simhash_of_a_heavy_line(spark, monkeypatch):
     light = line_dedup.dedup_lines(docs, "doc_id", "text").collect()
     monkeypatch.setattr(line_dedup, "SHORT", 1)
     assert Counter(line_dedup.dedup_lines(docs, "doc_id", "text").collect()) == Counter(light)
+
+
+def test_scattered_edits_up_to_the_threshold(spark):
+    rng = random.Random(12)
+    rows = []
+    for i in range(60):
+        words = [f"w{rng.randrange(5000)}" for _ in range(200)]
+        rows.append((2 * i, " ".join(words)))
+        for at in rng.sample(range(200), 39):
+            words[at] = f"v{rng.randrange(5000)}"
+        rows.append((2 * i + 1, " ".join(words)))
+    got = {r["doc_id"]: r["class_id"] for r in order_minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text").collect()}
+    assert all(got[2 * i] == 2 * i and got[2 * i + 1] in (2 * i, 2 * i + 1) for i in range(60))
+    assert sum(got[2 * i + 1] == 2 * i for i in range(60)) >= 54
