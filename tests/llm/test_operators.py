@@ -331,3 +331,21 @@ def test_scattered_edits_up_to_the_threshold(spark):
     got = {r["doc_id"]: r["class_id"] for r in order_minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text").collect()}
     assert all(got[2 * i] == 2 * i and got[2 * i + 1] in (2 * i, 2 * i + 1) for i in range(60))
     assert sum(got[2 * i + 1] == 2 * i for i in range(60)) >= 54
+
+
+def test_substrings_of_a_hot_phrase_start(spark, monkeypatch):
+    passage = prose(30, 40)
+    texts = [(i, f"{prose(100 + i, 6)} {i} {passage} {i % 7} {prose(200 + i % 7, 8)}") for i in range(60)]
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    expected = Counter((r["doc_id"], bytes(r["kept"]), r["n_spans"]) for r in substring_dedup.dedup_substrings(frame, "doc_id", "text").collect())
+    most = []
+
+    def judge(entries, judge=substring_dedup.answers):
+        most.append(entries.groupBy("start").count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0])
+        return judge(entries)
+
+    monkeypatch.setattr(substring_dedup, "HOT", 5, raising=False)
+    monkeypatch.setattr(substring_dedup, "answers", judge)
+    got = Counter((r["doc_id"], bytes(r["kept"]), r["n_spans"]) for r in substring_dedup.dedup_substrings(frame, "doc_id", "text").collect())
+    assert got == expected and any(n_spans for _, _, n_spans in got)
+    assert max(most) <= 5
