@@ -349,3 +349,13 @@ def test_substrings_of_a_hot_phrase_start(spark, monkeypatch):
     got = Counter((r["doc_id"], bytes(r["kept"]), r["n_spans"]) for r in substring_dedup.dedup_substrings(frame, "doc_id", "text").collect())
     assert got == expected and any(n_spans for _, _, n_spans in got)
     assert max(most) <= 5
+
+
+def test_texts_that_share_an_id_stay_apart(spark):
+    import corpus_pipeline
+
+    one, other = prose(40, 80), prose(41, 80)
+    rows = [(1, one, "b"), (1, one, "a"), (1, other, "a"), (2, one + " more", "a"), (3, other, "a"), (4, prose(42, 80), "a"), (None, one, "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = corpus_pipeline.dedup_documents(spark, docs, "").collect()
+    assert Counter(map(tuple, got)) == Counter([(1, one, "a"), (1, other, "a"), rows[5], rows[6]])
