@@ -24,6 +24,7 @@ _MODULES = [
     "lm_scoring",
     "language_id",
     "url_filter",
+    "centroid_clustering",
 ]
 
 # functions that run in tasks travel with the job, so executors need not have this package
