@@ -24,6 +24,7 @@ _MODULES = [
     "lm_scoring",
     "language_id",
     "url_filter",
+    "warc",
     "centroid_clustering",
 ]
 
