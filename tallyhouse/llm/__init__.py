@@ -24,6 +24,7 @@ _MODULES = [
     "lm_scoring",
     "language_id",
     "url_filter",
+    "prefix_trie",
     "warc",
     "centroid_clustering",
 ]
