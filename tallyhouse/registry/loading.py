@@ -28,15 +28,22 @@ from tallyhouse.sources.raw import (
     reconcile,
     replace_table,
     union_all,
+    write_landing,
 )
 from tallyhouse.sources.tables import table
 
 _RAW = ", ".join(RAW_COLUMNS)
 
 
-@query("ld1_csv_scan", sql(f"SELECT {_RAW} FROM raw", "raw"))
+_BROKEN_NAME = """CASE WHEN transaction_id LIKE '%3' THEN product_name || chr(10) || '"x", y' ELSE product_name END"""
+
+
+@query("ld1_csv_scan", sql(f"SELECT {_RAW.replace('product_name', f'{_BROKEN_NAME} AS product_name')} FROM raw", "raw"))
 def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_raw(spark, landing(spark, sf_dir))
+    """Every tenth name holds a line break, quotes and a delimiter."""
+    path = workspace(spark, sf_dir, "landing/broken_names")
+    write_landing(raw(spark, sf_dir).withColumn("product_name", F.expr(_BROKEN_NAME)), path)
+    return read_raw(spark, path)
 
 
 @query("ld2_input_gate", sql("SELECT product_name, count(*) AS parsed_rows FROM raw GROUP BY product_name", "raw"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyhouse.context import RunContext
+from tallyhouse.sources.records import RecordError, csv_records
 
 # The column names of a transaction file, in file order.
 RAW_COLUMNS = [
@@ -38,16 +39,20 @@ class LoadError(ValueError):
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
     """CSV scan with every column as text and the missing-value texts as NULL.
 
-    ``enforceSchema`` is off, so a file whose header differs from the expected
-    columns is an error instead of shifted data.
+    Quoted fields may hold delimiters, quotes and line breaks. A record with more or
+    fewer fields than the header is an error that shows it; so is a file with another
+    header, or an unpaired quote. Counts quotes in a first pass over the files.
     """
-    text = (
-        spark.read.schema(RAW_SCHEMA)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("escape", '"')
-        .csv(path)
-    )
+    try:
+        records = csv_records(spark, path, RAW_COLUMNS)
+    except RecordError as problem:
+        raise LoadError(str(problem)) from problem
+    schema = f"{RAW_SCHEMA.toDDL()}, __broken STRING"
+    options = {"escape": '"', "multiLine": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__broken"}
+    fields = records.select(F.from_csv("value", F.lit(schema), options).alias("r"), "value")
+    wrong = F.concat(F.lit(f"not {len(RAW_COLUMNS)} fields: "), F.left("value", F.lit(200)))
+    whole = F.when(F.col("r.__broken").isNull(), F.lit(True)).otherwise(F.raise_error(wrong).cast("boolean"))
+    text = fields.where(whole).select("r.*")
     return text.select(*[F.when(~F.col(c).isin(NULL_TOKENS), F.col(c)).alias(c) for c in RAW_COLUMNS])
 
 
@@ -67,7 +72,7 @@ def write_landing(df: DataFrame, path: str) -> None:
 def check_input(spark: SparkSession, path: str) -> DataFrame:
     """Gate before a load: the files exist, are not empty and parse.
 
-    Returns the scan. Reads only the first rows, as the gate needs no more.
+    Returns the scan. Besides the pass that counts quotes, reads only the first rows.
     """
     try:
         scan = read_raw(spark, path)
