@@ -218,7 +218,10 @@ def write_archives(pages: DataFrame, page_id: str, url: str, payload: str, path:
 
 def files(spark: SparkSession, path: str) -> DataFrame:
     """bundle and content of all files below ``path``."""
-    return spark.read.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary, bundle long").load(path)
+    read = spark.read.format("binaryFile").load(path)
+    # without a single bundle there is no folder to name the column
+    bundle = F.col("bundle") if "bundle" in read.columns else F.lit(None)
+    return read.select(bundle.cast("long").alias("bundle"), "content")
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
@@ -274,7 +277,7 @@ def fetch(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
         return pa.Table.from_batches([table_of(rows, RECORD_SCHEMA)])
 
     named = [r["bundle"] for r in wanted.select("bundle").distinct().limit(MOST_LISTED + 1).collect()]
-    needed = files(spark, path).select("bundle", "content")
+    needed = files(spark, path)
     if len(named) <= MOST_LISTED:
         needed = needed.where(F.col("bundle").isin(named))
     else:
