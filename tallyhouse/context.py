@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from dataclasses import dataclass
 from datetime import date, datetime
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _LOCAL_DIRS: dict[str, str] = {}
@@ -48,4 +49,25 @@ def shared_dir(spark: SparkSession) -> str:
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_DIRS:
         _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="tallyhouse-")
+        delete_at_end(spark, _LOCAL_DIRS[app])
     return _LOCAL_DIRS[app]
+
+
+def delete_at_end(spark: SparkSession, path: str) -> None:
+    """Delete a path when the application ends."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
+
+
+def scratch_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back, which cuts its lineage.
+
+    Numbers that a shuffle gave, such as the ranges of a sampled order, then stay what
+    they are, however often tasks are run again. Deleted when the application ends.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/scratch/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+    delete_at_end(spark, path)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

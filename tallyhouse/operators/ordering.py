@@ -1,116 +1,73 @@
 """Neighbours and ranks in groups of any size.
 
 A window function sorts a whole group in one task. That is fine for many small
-groups and hopeless for one huge one, or for no grouping at all. Here a large
-group is cut into ranges of its order column and each range is sorted by itself.
-What one range must know of the others, its neighbour's first row or how many rows
-lie ahead, is one small row per range.
+groups and hopeless for one huge one, or for no grouping at all. Beyond a task's
+worth of rows the table is therefore written in ranges of its whole sort key, grouping
+columns first, and each range is sorted by itself. What one range must know of the
+others, its neighbour's edge row or how many rows lie ahead, is one small row per range.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-# rows of one group that a single task may sort
+from tallyhouse.context import scratch_table
+
+# rows that a single task may sort
 ROWS_PER_TASK = 20_000_000
-# cut points are looked up in two steps of this many comparisons
-STEP = 32
-MAX_RANGES = STEP * STEP
-# pairs of group and range that may be broadcast
-MAX_BROADCAST_PAIRS = 500_000
+# rows, one per range, that may be broadcast
+MAX_BROADCAST_RANGES = 500_000
 # rows one task may write out when a counted row is repeated
 REPEATS_PER_TASK = 1_000_000
 
 
-def position(column: str, df: DataFrame) -> Column:
-    """A number that never falls when ``column`` rises; equal values stay equal."""
-    kind = df.schema[column].dataType
-    value = F.col(column)
-    if isinstance(kind, T.DateType):
-        return F.unix_date(value).cast("double")
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast(kind), value).cast("double")
-    if isinstance(kind, T.StringType):
-        head = F.rpad(F.hex(F.substring(F.encode(value, "UTF-8"), 1, 6)), 12, "0")
-        return F.conv(head, 16, 10).cast("double")
-    if isinstance(kind, T.NumericType):
-        return value.cast("double")
-    raise TypeError(f"cannot order ranges by {kind.simpleString()}")
-
-
-def range_number(at: Column, cuts: list[float]) -> Column:
-    """How many cut points lie at or below ``at``; 0 for NULL."""
-    if not cuts:
-        return F.lit(0)
-    blocks = [cuts[i : i + STEP] for i in range(0, len(cuts), STEP)]
-    heads = F.array(*[F.lit(b[0]) for b in blocks])
-    table = F.array(*[F.array(*[F.lit(c) for c in b]) for b in blocks])
-    block = F.size(F.filter(heads, lambda c: c <= at))
-    inside = F.size(F.filter(F.get(table, block - 1), lambda c: c <= at))
-    return F.when(at.isNull() | (block == 0), 0).otherwise((block - 1) * STEP + inside)
-
-
-def hot_groups(df: DataFrame, keys: list[str], limit: int) -> DataFrame:
-    """Groups above ``limit`` rows. There are at most rows / limit of them."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).filter(F.col("__rows") > limit).drop("__rows")
-
-
-@dataclass(frozen=True)
-class Split:
-    """Rows with ``__hot`` and ``__range``: groups too large for one task, cut by a column.
-
-    Ranges of a group follow each other in the column's ascending order, NULLs last.
-    ``pairs`` bounds how many (group, range) pairs there can be.
-    """
+def sort_key(keys: list[str], order: list[str]) -> Column:
+    """One value that compares like the rows do: by ``keys``, then ``order`` with NULLs last."""
+    return F.struct(*keys, *[F.struct(F.col(c).isNull().alias("missing"), c).alias(f"by_{c}") for c in order])
+
+
+def in_ranges(df: DataFrame, keys: list[str], order: list[str], rows_per_task: int, total: int) -> DataFrame:
+    """``df`` written with ``__range``: later ranges hold later rows of the whole sort key.
 
-    rows: DataFrame
-    keys: list[str]
-    pairs: int
+    No range holds more than ``rows_per_task`` rows, unless all of them are equal in the
+    key: a larger one is cut again, and as sampled cut points may miss values beside a
+    very common one, the rows equal to its lowest and highest key are parted from the rest.
+    """
+    by = [*[F.col(k).asc() for k in keys], *[F.col(c).asc_nulls_last() for c in order]]
+    at = sort_key(keys, order)
+    parts = -(-total // rows_per_task) + 1
+    number = F.spark_partition_id().cast("long")
+    table = scratch_table(df.repartitionByRange(parts, *by).withColumn("__range", number), "ranges")
+    while True:
+        sizes = table.groupBy("__range").agg(F.count(F.lit(1)).alias("__n"), F.min(at).alias("__low"), F.max(at).alias("__high"))
+        # at most total / rows_per_task ranges are too large
+        large = scratch_table(sizes.filter((F.col("__n") > rows_per_task) & (F.col("__low") != F.col("__high"))), "large")
+        rows = large.agg(F.sum("__n")).first()[0]
+        if not rows:
+            return table
+        pieces = 2 * -(-rows // rows_per_task) + 1
+        apart = F.when(at == F.col("__low"), 0).when(at == F.col("__high"), 2).otherwise(1)
+        marked = table.join(F.broadcast(large), "__range").withColumn("__apart", apart).drop("__n", "__low", "__high")
+        place = F.struct(number.alias("p"), "__apart")
+        cut = scratch_table(marked.repartitionByRange(pieces, "__range", "__apart", *by).withColumn("__place", place).drop("__apart"), "cut")
+        kept = table.join(F.broadcast(large.select("__range")), "__range", "left_anti")
+        step = F.lit(3 * pieces)
+        inner = F.col("__place.p") * 3 + F.col("__place.__apart")
+        table = kept.withColumn("__range", F.col("__range") * step).unionByName(
+            cut.withColumn("__range", F.col("__range") * step + inner).drop("__place")
+        )
 
-    def by_range(self, *aggregates: Column) -> DataFrame:
-        """One row per range of a hot group."""
-        return self.rows.filter("__hot").groupBy(*self.keys, "__range").agg(*aggregates)
 
-    def look_up(self, rows: DataFrame, found: DataFrame) -> DataFrame:
-        """Bring a value per range of a hot group to the rows; NULL for other rows."""
-        names = {k: f"__{k}" for k in [*self.keys, "__range"]}
-        renamed = found.withColumnsRenamed(names)
-        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()])
-        # the hint is given only where the number of pairs is known to be small
-        side = F.broadcast(renamed) if self.pairs <= MAX_BROADCAST_PAIRS else renamed
-        return rows.join(side, same, "left").drop(*names.values())
+def _look_up(rows: DataFrame, found: DataFrame, ranges: int) -> DataFrame:
+    # the hint is given only where the number of ranges is known to be small
+    return rows.join(F.broadcast(found) if ranges <= MAX_BROADCAST_RANGES else found, "__range", "left")
 
 
-def split_hot_groups(df: DataFrame, keys: list[str], column: str, rows_per_task: int, total: int) -> Split | None:
-    """Cut the groups above ``rows_per_task``; None when there are none."""
-    if total <= rows_per_task:
-        return None
-    hot = hot_groups(df, keys, rows_per_task).collect() if keys else [()]
-    if not hot:
-        return None
-    # the cut points only balance the load: any choice of them gives the same result
-    at = position(column, df)
-    ranges = min(MAX_RANGES, -(-total // rows_per_task))
-    shares = [i / ranges for i in range(1, ranges)]
-    cuts = sorted(set(df.agg(F.percentile_approx(at, shares, 100 * ranges).alias("c")).first()["c"] or []))
-    number = F.when(F.col(column).isNull(), len(cuts) + 1).otherwise(range_number(at, cuts))
-    if not keys:
-        marked = df.withColumn("__hot", F.lit(True))
-    else:
-        fields = [T.StructField(f"__{k}", df.schema[k].dataType) for k in keys]
-        marks = df.sparkSession.createDataFrame(
-            [(*group, True) for group in hot], T.StructType([*fields, T.StructField("__hot", T.BooleanType())])
-        )
-        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
-        # at most total / rows_per_task groups are hot, so this side is small
-        marked = df.join(F.broadcast(marks), same, "left").drop(*[f"__{k}" for k in keys])
-    rows = marked.withColumn("__range", F.when(F.col("__hot"), number).otherwise(0))
-    return Split(rows, keys, len(hot) * (len(cuts) + 2))
+def _same(keys: list[str], other: str) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{other}.{k}")) for k in keys], F.lit(True))
 
 
 def with_neighbour(
@@ -131,25 +88,24 @@ def with_neighbour(
     may give an upper bound of the rows that is cheaper to get than a count.
     """
     ascending = [F.col(c).asc_nulls_last() for c in order]
-    move = F.lead if step > 0 else F.lag
+    move, pick = (F.lead, F.min_by) if step > 0 else (F.lag, F.max_by)
 
     def moved(*groups: str) -> Column:
         return move(value).over(Window.partitionBy(*groups).orderBy(*ascending))
 
-    split = split_hot_groups(df, keys, order[0], rows_per_task, df.count() if total is None else total)
-    if split is None:
+    total = df.count() if total is None else total
+    if total <= rows_per_task:
         return df.withColumn(name, moved(*keys))
+    ranged = in_ranges(df, keys, order, rows_per_task, total)
     # the row of each range that the neighbouring range must look up
-    edge = F.struct(*[F.struct(F.col(c).isNull(), F.col(c)) for c in order])
-    pick = F.min_by if step > 0 else F.max_by
-    along = Window.partitionBy(*keys).orderBy("__range")
-    edges = split.by_range(pick(value, edge).alias("__edge"))
-    found = edges.select(*keys, "__range", move(F.col("__edge")).over(along).alias("__beyond"))
-    inner = split.rows.withColumn(name, moved(*keys, "__range"))
+    edges = ranged.groupBy("__range").agg(pick(F.struct(*keys, value.alias("__value")), sort_key(keys, order)).alias("__edge"))
+    found = edges.select("__range", move("__edge").over(Window.orderBy("__range")).alias("__beyond"))
+    inner = ranged.withColumn(name, moved("__range", *keys))
+    beyond = F.when(_same(keys, "__beyond"), F.col("__beyond.__value"))
     return (
-        split.look_up(inner, found)
-        .withColumn(name, F.coalesce(F.col(name), F.col("__beyond")))
-        .drop("__beyond", "__range", "__hot")
+        _look_up(inner, found, -(-total // rows_per_task))
+        .withColumn(name, F.coalesce(F.col(name), beyond))
+        .drop("__beyond", "__range")
     )
 
 
@@ -164,25 +120,48 @@ def with_rank(
     """Add ``name``: the rank by ``column`` within ``keys``, the largest value first.
 
     ``largest_group`` is a known bound on the rows of a group, if there is one; within
-    ``rows_per_task`` it saves looking for hot groups.
+    ``rows_per_task`` it saves counting the rows.
     """
 
     def ranked(*groups: str) -> Column:
         return F.rank().over(Window.partitionBy(*groups).orderBy(F.col(column).desc_nulls_first()))
 
-    small = largest_group is not None and largest_group <= rows_per_task
-    split = None if small else split_hot_groups(df, keys, column, rows_per_task, df.count())
-    if split is None:
+    total = 0 if largest_group is not None and largest_group <= rows_per_task else df.count()
+    if total <= rows_per_task:
         return df.withColumn(name, ranked(*keys))
-    # equal values share a range, so a range's rows all rank behind the ranges above
-    above = Window.partitionBy(*keys).orderBy(F.col("__range").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    sizes = split.by_range(F.count(F.lit(1)).alias("__rows"))
-    found = sizes.select(*keys, "__range", F.sum("__rows").over(above).alias("__ahead"))
-    inner = split.rows.withColumn(name, ranked(*keys, "__range"))
+    # rows that tie may lie in several ranges, so a hash of the row parts them
+    spread = df.withColumn("__spread", F.xxhash64(*df.columns))
+    order = [column, "__spread"]
+    ranged = in_ranges(spread, keys, order, rows_per_task, total)
+    row = F.struct(*keys, F.col(column).alias("__value"))
+    ends = ranged.groupBy("__range").agg(
+        F.min_by(row, sort_key(keys, order)).alias("__first"), F.max_by(row, sort_key(keys, order)).alias("__last")
+    )
+    ranges = -(-total // rows_per_task)
+    opening = _look_up(ranged, ends, ranges).filter(_same(keys, "__first"))
+    sizes = opening.groupBy("__range", "__first").agg(
+        F.count(F.lit(1)).alias("group_rows"), F.count_if(F.col(column).eqNullSafe(F.col("__first.__value"))).alias("value_rows")
+    )
+    # a range's last group goes on in the ranges that begin with the same group
+    asked = ends.select("__range", F.col("__last").alias("row"), F.lit(0).alias("kind"), F.lit(0).alias("group_rows"), F.lit(0).alias("value_rows"))
+    given = sizes.select("__range", F.col("__first").alias("row"), F.lit(1).alias("kind"), "group_rows", "value_rows")
+    group = [F.col(f"row.{k}") for k in keys]
+
+    def later(of: str, *within: Column) -> Column:
+        order = Window.partitionBy(*within).orderBy(F.col("__range").desc(), "kind")
+        return F.coalesce(F.sum(of).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    ahead = asked.unionByName(given).select(
+        "__range", "row", "kind", later("group_rows", *group).alias("__ahead"), later("value_rows", F.col("row")).alias("__ties")
+    )
+    found = ahead.filter("kind = 0").select("__range", F.col("row").alias("__last"), "__ahead", "__ties")
+    inner = ranged.withColumn(name, ranked("__range", *keys))
+    tied = F.when(F.col(column).eqNullSafe(F.col("__last.__value")), F.col("__ties")).otherwise(0)
+    beyond = F.when(_same(keys, "__last"), F.col("__ahead") - tied).otherwise(0)
     return (
-        split.look_up(inner, found)
-        .withColumn(name, (F.col(name) + F.coalesce("__ahead", F.lit(0))).cast("int"))
-        .drop("__ahead", "__range", "__hot")
+        _look_up(inner, found, ranges)
+        .withColumn(name, (F.col(name) + beyond).cast("int"))
+        .drop("__last", "__ahead", "__ties", "__range", "__spread")
     )
 
 

@@ -284,8 +284,8 @@ def sequential_values(
     return firsts.unionByName(repeat_rows(copies, "__n"))
 
 
-# How a range's end must relate to the next range's start.
-GAPS = {"not_allowed": "=", "allowed": "<=", "required": "<"}
+# What may lie between the end of a range and the start of the next one.
+GAPS = {"not_allowed": ["touch"], "allowed": ["gap", "touch"], "required": ["gap"]}
 
 
 def mutually_exclusive_ranges(
@@ -297,7 +297,12 @@ def mutually_exclusive_ranges(
     zero_length_allowed: bool = False,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Ranges that are empty, reversed or open, or that the next range overlaps."""
+    """Ranges that are wrong in themselves, or do not stand to the next one as ``gaps`` says.
+
+    ``shape`` names what is wrong with the range: ``open`` (a bound is missing), ``reversed``
+    or ``empty``. ``meets_next`` names what lies between it and the next range, ``gap``,
+    ``touch``, ``overlap`` or ``unknown`` (a bound is missing), where that is not allowed.
+    """
     if gaps not in GAPS:
         raise ValueError(f"gaps must be one of {list(GAPS)}, got {gaps!r}")
     keys = ["partition_by_col"] if partition_by else []
@@ -310,24 +315,20 @@ def mutually_exclusive_ranges(
     nexts = with_neighbour(
         distinct, keys, ["lower_bound", "upper_bound"], F.struct("lower_bound"), "__next", 1, rows_per_task, df.count()
     )
-
-    def judged(rows: DataFrame) -> DataFrame:
-        own = F.expr(f"coalesce(lower_bound {'<=' if zero_length_allowed else '<'} upper_bound, false)")
-        following = F.expr(f"coalesce(upper_bound {GAPS[gaps]} next_lower_bound, is_last_record, false)")
-        return rows.select(
-            "*", own.alias("lower_bound_before_upper_bound"), following.alias("upper_bound_before_next_lower_bound")
-        ).filter(~(F.col("lower_bound_before_upper_bound") & F.col("upper_bound_before_next_lower_bound")))
+    start, end = F.col("lower_bound"), F.col("upper_bound")
+
+    def faults(rows: DataFrame, following: Column) -> DataFrame:
+        """``following`` is a struct with the next start, NULL after the last range."""
+        after = following["lower_bound"]
+        shape = F.when(start.isNull() | end.isNull(), "open").when(end < start, "reversed")
+        if not zero_length_allowed:
+            shape = shape.when(end == start, "empty")
+        meets = F.when(end < after, "gap").when(end == after, "touch").when(end > after, "overlap").otherwise("unknown")
+        wrong = F.when(following.isNotNull() & ~meets.isin(GAPS[gaps]), meets)
+        judged = rows.withColumns({"next_lower_bound": after, "shape": shape, "meets_next": wrong})
+        return judged.filter(F.col("shape").isNotNull() | F.col("meets_next").isNotNull()).drop("__next")
 
     # the last copy of a range meets the next range, every other copy meets itself
-    lasts = nexts.select(
-        *columns,
-        F.col("__next")["lower_bound"].alias("next_lower_bound"),
-        F.col("__next").isNull().alias("is_last_record"),
-    )
-    copies = distinct.filter("__n > 1").select(
-        *columns,
-        F.col("lower_bound").alias("next_lower_bound"),
-        F.lit(False).alias("is_last_record"),
-        (F.col("__n") - 1).alias("__n"),
-    )
-    return judged(lasts).unionByName(repeat_rows(judged(copies), "__n"))
+    lasts = faults(nexts.drop("__n"), F.col("__next"))
+    copies = distinct.filter("__n > 1").withColumn("__n", F.col("__n") - 1)
+    return lasts.unionByName(repeat_rows(faults(copies, F.struct("lower_bound")), "__n"))

@@ -163,14 +163,11 @@ def relationships_where(spark: SparkSession, sf_dir: str) -> DataFrame:
     "gt13_mutually_exclusive_ranges",
     """WITH r AS (SELECT o_custkey AS k, CAST(o_orderdate AS DATE) AS lo,
                          CAST(o_orderdate AS DATE) + CAST(o_orderkey % 60 AS INTEGER) AS hi FROM orders),
-            w AS (SELECT *, lead(lo) OVER (PARTITION BY k ORDER BY lo NULLS LAST, hi NULLS LAST) AS nxt,
-                         row_number() OVER (PARTITION BY k ORDER BY lo DESC NULLS FIRST, hi DESC NULLS FIRST) = 1 AS last
-                  FROM r),
-            c AS (SELECT *, coalesce(lo < hi, FALSE) AS ok1, coalesce(hi <= nxt, last, FALSE) AS ok2 FROM w)
+            w AS (SELECT *, lead(lo) OVER (PARTITION BY k ORDER BY lo, hi) AS nxt FROM r)
        SELECT k AS partition_by_col, CAST(lo AS VARCHAR) AS lower_bound, CAST(hi AS VARCHAR) AS upper_bound,
-              CAST(nxt AS VARCHAR) AS next_lower_bound, last AS is_last_record,
-              ok1 AS lower_bound_before_upper_bound, ok2 AS upper_bound_before_next_lower_bound
-       FROM c WHERE NOT (ok1 AND ok2)""",
+              CAST(nxt AS VARCHAR) AS next_lower_bound, CASE WHEN lo = hi THEN 'empty' END AS shape,
+              CASE WHEN hi > nxt THEN 'overlap' END AS meets_next
+       FROM w WHERE lo = hi OR hi > nxt""",
 )
 def mutually_exclusive_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.col("o_orderdate").cast("date")

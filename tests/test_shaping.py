@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.operators import shaping as S
 from tallyhouse.operators.grouping import aggregate_with_distinct
-from tallyhouse.operators.ordering import repeat_rows, with_neighbour, with_rank
+from tallyhouse.operators.ordering import in_ranges, repeat_rows, with_neighbour, with_rank
 from tallyhouse.operators.series import date_spine, generate_series
 from tallyhouse.operators.violations import mutually_exclusive_ranges, sequential_values
 
@@ -171,7 +171,7 @@ def brute_neighbours(data, step):
 
 
 @pytest.mark.parametrize("step", [1, -1])
-@pytest.mark.parametrize("kind", ["int", "string", "timestamp_ntz", "date"])
+@pytest.mark.parametrize("kind", ["int", "string", "long start", "timestamp_ntz", "date"])
 def test_neighbours_across_ranges(make, step, kind):
     rng = random.Random(3)
     # one key holds most of the rows, one is NULL, others are small
@@ -180,14 +180,16 @@ def test_neighbours_across_ranges(make, step, kind):
     convert = {
         "int": F.col("v"),
         "string": F.lpad(F.col("v").cast("string"), 5, "0"),
+        "long start": F.concat(F.lit("the same long start of every text "), F.lpad(F.col("v").cast("string"), 5, "0")),
         "timestamp_ntz": F.timestamp_add("HOUR", F.col("v"), F.lit("2020-01-01").cast("timestamp_ntz")),
         "date": F.date_add(F.lit("2020-01-01").cast("date"), F.col("v")),
     }[kind]
     typed = df.select("k", convert.alias("o"), "v")
+    limits = (10_000, 60, 7) if kind in ("int", "long start") else (60,)
     for keys in (["k"], []):
         source = typed if keys else typed.dropDuplicates(["v"]).withColumn("k", F.lit(0))
         wanted = brute_neighbours([(r.k, r.v) for r in source.collect()], step)
-        for limit in (10_000, 60, 7):
+        for limit in limits:
             got = with_neighbour(source, keys, ["o"], F.struct("v"), "n", step, rows_per_task=limit)
             found = sorted(((r.k, r.v, tuple(r.n) if r.n else None) for r in got.collect()), key=str)
             assert found == wanted, (keys, limit)
@@ -204,6 +206,24 @@ def test_ranks_across_ranges(make):
             assert got.columns == ["k", "v", "i", "r"] and rows(got) == wanted, (keys, limit)
 
 
+def test_no_range_is_too_large_unless_its_rows_are_equal(make):
+    # values beside a very common one, which sampled cut points miss
+    data = [(1, 50)] * 3000 + [(1, v) for v in (*range(10), *range(60, 90), None)] + [(2, 7)]
+    df = make("k int, v int", data)
+    ranged = in_ranges(df, ["k"], ["v"], 20, len(data))
+    sizes = ranged.groupBy("__range").agg(F.count("*").alias("n"), F.count_distinct("k", "v").alias("d"), F.min("v").alias("v")).collect()
+    assert sum(r.n for r in sizes) == len(data)
+    assert [(r.n, r.d, r.v) for r in sizes if r.n > 20] == [(3000, 1, 50)]
+    order = [(r.k, r.v) for r in ranged.orderBy("__range", "k", F.col("v").asc_nulls_last()).collect()]
+    assert order == sorted(data, key=lambda x: (x[0], x[1] is None, x[1]))
+
+
+def test_more_than_a_thousand_ranges(spark):
+    df = spark.range(1200).withColumn("id", F.col("id") * 3)
+    got = in_ranges(df, [], ["id"], 1, 1200).groupBy("__range").count().agg(F.count("*"), F.max("count")).first()
+    assert tuple(got) == (1200, 1)
+
+
 def test_tests_on_order_do_not_depend_on_the_split(make):
     rng = random.Random(5)
     data = [(rng.choice([1, 1, 1, 2]), rng.randrange(80), rng.randrange(1, 9)) for _ in range(500)]

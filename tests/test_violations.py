@@ -1,5 +1,6 @@
 """Generic tests: cases that pass, cases that fail, and where NULL stands."""
 
+from collections import Counter
 from datetime import date, datetime
 
 import pytest
@@ -171,8 +172,12 @@ def test_mutually_exclusive_ranges(make):
     assert len(rows(V.mutually_exclusive_ranges(touching, "lo", "hi", gaps="required"))) == 2
     overlapping = make("lo int, hi int", [(0, 2), (1, 3), (3, 3)])
     found = V.mutually_exclusive_ranges(overlapping, "lo", "hi")
-    assert [tuple(r)[:4] for r in found.orderBy("lower_bound").collect()] == [(0, 2, 1, False), (3, 3, None, True)]
+    assert [tuple(r) for r in found.orderBy("lower_bound").collect()] == [(0, 2, 1, None, "overlap"), (3, 3, None, "empty", None)]
     assert [r.lower_bound for r in V.mutually_exclusive_ranges(overlapping, "lo", "hi", zero_length_allowed=True).collect()] == [0]
+    twice = make("lo int, hi int", [(5, 4), (7, 8), (7, 8), (None, 3), (9, None)])
+    assert Counter(tuple(r) for r in V.mutually_exclusive_ranges(twice, "lo", "hi").collect()) == Counter(
+        [(5, 4, 7, "reversed", None), (7, 8, 7, None, "overlap"), (9, None, None, "open", "unknown"), (None, 3, None, "open", None)]
+    )
     with pytest.raises(ValueError):
         V.mutually_exclusive_ranges(touching, "lo", "hi", gaps="some")
 
