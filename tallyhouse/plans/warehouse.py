@@ -27,9 +27,8 @@ LAYERS = {
     "monthly_customer_summary": "mart",
     "product_performance": "mart",
 }
-# the marts that read staging; the others read these
-BASE_MARTS = ["fact_transactions", "dim_customers", "dim_products", "dim_dates"]
-MARTS = [name for name, layer in LAYERS.items() if layer == "mart"]
+# the marts that read other marts
+LATE_MARTS = ["monthly_customer_summary", "product_performance"]
 
 
 class Warehouse:
@@ -78,7 +77,7 @@ class Warehouse:
         """The query of a table over the tables it reads, not yet written."""
         if name == "stg_transactions":
             return stg_transactions(self.table("customer_transactions"))
-        if name in ("monthly_customer_summary", "product_performance"):
+        if name in LATE_MARTS:
             fact, dates = self.table("fact_transactions"), self.table("dim_dates")
             if name == "product_performance":
                 return product_performance(fact, dates, self.table("dim_products"), self.ctx)
@@ -99,15 +98,23 @@ class Warehouse:
         self._built.discard(name)
         return self.table(name)
 
-    def build(self) -> dict[str, DataFrame]:
-        """Every layer; running it again replaces every table with the same rows.
+    def start(self) -> None:
+        """Begin a new run: every table is built again when it is next asked for."""
+        self._built.clear()
+
+    def build_layer(self, layer: str) -> dict[str, DataFrame]:
+        """The tables of one layer, over the tables below it that are already there.
 
         Tables that do not read each other are written at the same time, so that the
         last tasks of one do not leave the cluster idle.
         """
-        self._built.clear()
-        self.table("stg_transactions")
+        names = [name for name, of in LAYERS.items() if of == layer]
         with ThreadPoolExecutor(max_workers=4) as pool:
-            list(pool.map(self.table, BASE_MARTS))
-            list(pool.map(self.table, [m for m in MARTS if m not in BASE_MARTS]))
-        return {name: self.table(name) for name in LAYERS}
+            for together in ([n for n in names if n not in LATE_MARTS], [n for n in names if n in LATE_MARTS]):
+                list(pool.map(self.table, together))
+        return {name: self.table(name) for name in names}
+
+    def build(self) -> dict[str, DataFrame]:
+        """Every layer; running it again replaces every table with the same rows."""
+        self.start()
+        return {name: df for layer in dict.fromkeys(LAYERS.values()) for name, df in self.build_layer(layer).items()}

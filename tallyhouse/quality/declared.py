@@ -7,6 +7,7 @@ they shuffle nothing but the key.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from typing import Any
 
@@ -16,7 +17,8 @@ from pyspark.sql import types as T
 
 from tallyhouse.context import RunContext
 from tallyhouse.operators import violations as V
-from tallyhouse.quality.grading import Test, grade
+from tallyhouse.quality.grading import Test, grade, store_failures
+from tallyhouse.quality.report import QualityError
 from tallyhouse.sources.raw import union_all
 
 
@@ -240,9 +242,10 @@ def _failures(
     return parts
 
 
-def run_declared(tables: dict[str, DataFrame], ctx: RunContext) -> DataFrame:
-    """One row per declared test: its failures and its grade."""
-    flat = [(t, r) for t, rules in declared_rules(ctx).items() if t in tables for r in rules]
+def run_declared(tables: dict[str, DataFrame], ctx: RunContext, only: Sequence[str] | None = None) -> DataFrame:
+    """One row per declared test of ``tables``, or of ``only`` some of them: its failures and its grade."""
+    tested = tables if only is None else only
+    flat = [(t, r) for t, rules in declared_rules(ctx).items() if t in tested for r in rules]
     parts: list[DataFrame] = []
     for table in dict.fromkeys(t for t, _ in flat):
         rules = {i: r for i, (t, r) in enumerate(flat) if t == table}
@@ -268,3 +271,29 @@ def failing_tests(tables: dict[str, DataFrame], graded: DataFrame, ctx: RunConte
         if table in tables
     }
     return {table: tests for table, tests in found.items() if tests}
+
+
+class DeclaredTestError(QualityError):
+    """A declared test of severity ``error`` failed."""
+
+
+def barrier(
+    layer: str, tested: Sequence[str], tables: dict[str, DataFrame], ctx: RunContext, results: str
+) -> tuple[DataFrame, dict[str, str]]:
+    """Run the declared tests of one layer; nothing that reads the layer may be built when this raises.
+
+    Grades and failing rows are written below ``results`` first, so that a stopped run
+    can be examined. A test graded ``warn`` is stored likewise and lets the run go on.
+    Returns the grades and the paths of the failing rows.
+    """
+    path = f"{results}/declared/layer={layer}"
+    run_declared(tables, ctx, tested).write.mode("overwrite").parquet(path)
+    graded = next(iter(tables.values())).sparkSession.read.parquet(path)
+    stored = {}
+    for table, tests in failing_tests(tables, graded, ctx).items():
+        paths = store_failures(tests, tables[table], f"{results}/failing_rows/{table}")
+        stored |= {f"{table}.{name}": where for name, where in paths.items()}
+    failed = [f"{r.table_name}.{r.test}: {r.failures}" for r in graded.filter("status = 'error'").collect()]
+    if failed:
+        raise DeclaredTestError(f"{layer}: {len(failed)} declared tests failed: {sorted(failed)}")
+    return graded, stored

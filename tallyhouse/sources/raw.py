@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse.context import RunContext
+from tallyhouse.context import RunContext, scratch_table
 from tallyhouse.sources.records import RecordError, csv_records
 
 # The column names of a transaction file, in file order.
@@ -88,21 +88,25 @@ def check_input(spark: SparkSession, path: str) -> DataFrame:
 def profile(df: DataFrame) -> DataFrame:
     """One row: rows, columns, repeated rows, and the NULLs of each column.
 
-    Equal rows collapse map-side and carry their count, so one pass and one
-    shuffle answer everything; NULL counts are weighted by that count.
+    Rows are looked for twice among pairs of hashes, so that the shuffle carries 16
+    bytes a row, however wide it is. Only rows whose pair repeats are compared in full.
     """
     columns = df.columns
-    distinct = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("__n"))
-
-    def total(of: Column) -> Column:
-        return F.coalesce(F.sum(of), F.lit(0))
-
-    return distinct.agg(
-        total(F.col("__n")).alias("total_rows"),
+    # a NULL leaves a hash as it was, so each column is told from a missing one
+    told = [x for c in columns for x in (F.col(c).isNull(), F.col(c))]
+    pair = {"__one": F.xxhash64(*told), "__two": F.xxhash64(F.lit("second"), *told)}
+    hashed = df.withColumns(pair)
+    repeated = hashed.groupBy(*pair).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*pair)
+    # written, so that its size is known before the rows are read again
+    alike = hashed.join(scratch_table(repeated, "repeated"), list(pair), "left_semi").groupBy(*columns).agg(F.count(F.lit(1)).alias("__n"))
+    repeats = alike.agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).alias("duplicate_rows"))
+    counts = df.agg(
+        F.count(F.lit(1)).alias("total_rows"),
         F.lit(len(columns)).alias("total_columns"),
-        total(F.col("__n") - 1).alias("duplicate_rows"),
-        *[total(F.when(F.col(c).isNull(), F.col("__n")).otherwise(0)).alias(f"null_{c}") for c in columns],
+        *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in columns],
     )
+    order = ["total_rows", "total_columns", "duplicate_rows", *[f"null_{c}" for c in columns]]
+    return counts.crossJoin(repeats).select(*order)
 
 
 def add_lineage(df: DataFrame, ctx: RunContext) -> DataFrame:

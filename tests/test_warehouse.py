@@ -13,7 +13,7 @@ from tallyhouse.plans.dates import calendar_attributes, dim_dates, observed_spin
 from tallyhouse.plans.fact import fact_transactions
 from tallyhouse.plans.staging import stg_transactions
 from tallyhouse.plans.warehouse import LAYERS, Warehouse
-from tallyhouse.quality.declared import declared_rules, failing_tests, run_declared
+from tallyhouse.quality.declared import DeclaredTestError, declared_rules, failing_tests, run_declared
 from tallyhouse.quality.grading import store_failures
 from tallyhouse.quality.report import QualityError, gate, quality_report, report_summary
 from tallyhouse.sources.raw import (
@@ -32,16 +32,18 @@ from tallyhouse.sources.raw import (
 )
 
 ROWS = [
-    ("1001", "501.0", "2023-07-11", "101", "Product A", "1.0", "76.27", "8.23"),
-    ("1006", "506.0", "2023-07-20", "101", "Product A", "", "77.61", "24.56"),
-    ("1007", "", "2023-07-18", "102", "Product B", "5.0", "78.28", "18.24"),
-    ("1008", "508.0", "18-07-2023", "103", "Product C", "1.0", "254.17", "14.87"),
-    ("1009", "509.0", "2023-07-16", "104", "Product D", "5.0", "Two Hundred", "10.69"),
-    ("T1010", "500.0", "2023-07-15", "100", "Product E", "4.0", "200.35", "17.34"),
-    ("1011", "501.0", "2023-07-16", "101", "Product A", "3.0", "112.25", "Fifteen"),
-    ("1015", "505.0", "2023-07-16", "P100", "Product E", "4.0", "52.97", "7.61"),
-    ("T1070", "", "2023-07-16", "100", "Product E", "5.0", "200.8", "7.34"),
+    ("2001", "11.0", "2023-07-05", "201", "Product A", "2.0", "10.00", "1.50"),
+    ("2002", "12.0", "2023-07-06", "202", "Product B", "", "40.00", "3.00"),
+    ("2003", "", "2023-07-07", "203", "Product C", "3.0", "20.00", "6.00"),
+    ("2004", "13.0", "08-07-2023", "204", "Product D", "1.0", "99.99", "0.01"),
+    ("2005", "14.0", "2023-07-10", "205", "Product E", "4.0", "Nine", "2.00"),
+    ("T2006", "11.0", "2023-07-11", "202", "Product B", "5.0", "30.00", "15.00"),
+    ("2007", "12.0", "2023-07-12", "201", "Product A", "2.0", "15.50", "Four"),
+    ("2008", "13.0", "2023-07-13", "P204", "Product D", "1.0", "100.00", "5.00"),
+    ("T2009", "", "2023-07-14", "203", "Product C", "2.0", "25.00", "2.50"),
 ]
+# with a price for the product that has none above, all declared tests but a warning pass
+SOUND = [*ROWS, ("2010", "14.0", "2023-07-10", "205", "Product E", "1.0", "80.00", "4.00")]
 
 
 def write_csv(path, rows, header=RAW_COLUMNS):
@@ -82,19 +84,19 @@ def test_cleaned_values(built):
     )
     from decimal import Decimal as D
 
-    assert got["1001"] == (1001, 501, "2023-07-11", 101, "PRODUCT A", 1, D("84.50"))
-    assert got["1006"][5:] == (None, None)
-    assert got["1007"][1] is None and got["1007"][6] == D("409.64")
-    assert got["1008"][2] == "2023-07-18"
-    assert got["1009"][6] is None and got["1011"][6] is None
-    assert got["T1010"][0] == 1010 and got["T1010"][6] == D("818.74")
-    assert got["1015"][3] == 100
+    assert got["2001"] == (2001, 11, "2023-07-05", 201, "PRODUCT A", 2, D("21.50"))
+    assert got["2002"][5:] == (None, None)
+    assert got["2003"][1] is None and got["2003"][6] == D("66.00")
+    assert got["2004"][2] == "2023-07-08"
+    assert got["2005"][6] is None and got["2007"][6] is None
+    assert got["T2006"][0] == 2006 and got["T2006"][6] == D("165.00")
+    assert got["2008"][3] == 204
 
 
 def test_fact_admits_complete_rows_and_scores_them(built):
     fact = built[1]["fact_transactions"]
     scores = {r.transaction_id: r.data_quality_score for r in fact.collect()}
-    assert scores == {1001: 7, 1007: 6, 1008: 7, 1010: 6, 1015: 6, 1070: 5}
+    assert scores == {2001: 7, 2003: 6, 2004: 7, 2006: 6, 2008: 6, 2009: 5}
     assert fact.filter("customer_key = -1 AND is_guest_transaction").count() == 2
     assert fact.filter("is_clean_record").count() == 2
 
@@ -115,7 +117,8 @@ def test_unknown_customer(built):
 
 def test_dates_are_the_observed_ones_and_a_week_to_each_side(built):
     days = [str(r.date_day) for r in built[1]["dim_dates"].orderBy("date_day").collect()]
-    assert days == ["2023-07-04", "2023-07-11", "2023-07-15", "2023-07-16", "2023-07-18", "2023-07-20", "2023-07-27"]
+    sold = [f"2023-07-{d:02}" for d in (5, 6, 7, 8, 10, 11, 12, 13, 14)]
+    assert days == ["2023-06-28", *sold, "2023-07-21"]
 
 
 def test_calendar_spells_weeks_and_leaves_names_unpadded(spark):
@@ -192,14 +195,14 @@ def test_type_one_overwrite_keeps_no_history(spark, ctx, sample, tmp_path):
     later = RunContext(datetime(2023, 7, 22, 6), "run-2", ctx.source_file)
     rows = house.rebuild("dim_customers", later).collect()
     assert {str(r.dim_created_at) for r in rows} == {str(r.dim_updated_at) for r in rows} == {"2023-07-22 06:00:00"}
-    assert len(rows) == 7
+    assert len(rows) == 5
 
 
 def test_reports(built):
     _, t = built
     assert R.orphan_report(t["fact_transactions"], t["dim_customers"], t["dim_products"]).filter("orphaned_rows > 0").count() == 0
     split = {r.is_weekend: r.transaction_count for r in R.weekend_split(t["fact_transactions"], t["dim_dates"]).collect()}
-    assert split == {True: 3, False: 3}
+    assert split == {True: 1, False: 5}
     assert [r.data_quality_score for r in R.score_distribution(t["fact_transactions"]).collect()] == [7, 6, 5]
 
 
@@ -260,18 +263,43 @@ def test_freshness(spark, ctx, hours, status):
 # --- quality -------------------------------------------------------------------
 
 
-def test_daily_run(spark, ctx, sample, tmp_path):
-    outcome = daily_run(spark, sample, str(tmp_path), ctx)
+def test_daily_run(spark, ctx, tmp_path):
+    files = write_csv(tmp_path / "sound.csv", SOUND)
+    outcome = daily_run(spark, files, str(tmp_path / "out"), ctx)
     assert outcome.report["total_checks"] == 25
-    assert outcome.tests == {"pass": 110, "warn": 1, "error": 2}
-    stored = spark.read.parquet(outcome.failing_rows["stg_transactions.not_null_price"])
-    assert stored.count() == 1
+    # a warning is stored and lets the run go on
+    assert outcome.tests == {"pass": 112, "warn": 1}
+    assert list(outcome.failing_rows) == ["stg_transactions.not_null_price"]
+    assert spark.read.parquet(outcome.failing_rows["stg_transactions.not_null_price"]).count() == 1
+    assert outcome.profile["total_rows"] == 10 and outcome.profile["duplicate_rows"] == 0 and outcome.profile["null_quantity"] == 1
+    layers = spark.read.parquet(str(tmp_path / "out/test_results/declared")).groupBy("layer").count().collect()
+    assert {r["layer"] for r in layers} == {"raw", "staging", "mart"}
 
 
-def test_daily_run_stops_at_a_failed_check(spark, ctx, tmp_path):
-    path = write_csv(tmp_path / "twice.csv", [ROWS[0], *ROWS])
-    with pytest.raises(QualityError):
-        daily_run(spark, path, str(tmp_path / "out"), ctx)
+def test_an_error_in_staging_stops_before_the_marts(spark, ctx, tmp_path):
+    out = tmp_path / "out"
+    with pytest.raises(DeclaredTestError, match="staging: 1 .*unique_transaction_id: 1"):
+        daily_run(spark, write_csv(tmp_path / "twice.csv", [SOUND[0], *SOUND]), str(out), ctx)
+    assert (out / "staging").exists() and not (out / "mart").exists() and not (out / "test_results/report").exists()
+    found = spark.read.parquet(str(out / "test_results/failing_rows/stg_transactions/unique_transaction_id"))
+    assert [r["unique_field"] for r in found.collect()] == [2001]
+    assert spark.read.parquet(str(out / "test_results/profile")).first().duplicate_rows == 1
+    # the next sound run builds what the stopped one left out
+    assert daily_run(spark, write_csv(tmp_path / "sound.csv", SOUND), str(out), ctx).report["failed_checks"] == 0
+
+
+def test_an_error_in_the_marts_stops_before_the_report(spark, ctx, sample, tmp_path):
+    out = tmp_path / "out"
+    with pytest.raises(DeclaredTestError, match="mart: 2 .*dim_products.not_null_avg_price: 1"):
+        daily_run(spark, sample, str(out), ctx)
+    assert (out / "mart/product_performance").exists() and not (out / "test_results/report").exists()
+    graded = spark.read.parquet(str(out / "test_results/declared")).filter("layer = 'mart' AND status = 'error'")
+    assert graded.count() == 2
+
+
+def test_profile_counts_missing_values_in_their_own_columns(spark):
+    df = spark.createDataFrame([(None, "a"), ("a", None), (None, "a"), ("a", "a")], "p string, q string")
+    assert profile(df).first().asDict() == {"total_rows": 4, "total_columns": 2, "duplicate_rows": 1, "null_p": 2, "null_q": 1}
 
 
 def test_report_passes_on_clean_marts_and_counts_25_checks(built):
@@ -294,7 +322,7 @@ def test_declared_suite(built, ctx):
     names = [(r.table_name, r.test) for r in results]
     assert len(set(names)) == len(names)
     bad = {(r.test, r.failures, r.status) for r in results if r.status != "pass"}
-    # the only sale of product 104 has its price as text
+    # the only sale of product 205 has its price as text
     assert bad == {
         ("not_null_price", 1, "warn"),
         ("not_null_avg_price", 1, "error"),
@@ -307,7 +335,7 @@ def test_rows_of_failed_tests_are_stored(spark, built, ctx, tmp_path):
     failed = failing_tests(tables, run_declared(tables, ctx), ctx)
     assert [t.name for t in failed["stg_transactions"]] == ["not_null_price"]
     paths = store_failures(failed["stg_transactions"], tables["stg_transactions"], str(tmp_path))
-    assert spark.read.parquet(paths["not_null_price"]).first().raw_transaction_id == "1009"
+    assert spark.read.parquet(paths["not_null_price"]).first().raw_transaction_id == "2005"
 
 
 def test_declared_suite_counts_failures_of_every_kind(spark, ctx):
