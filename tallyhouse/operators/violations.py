@@ -225,11 +225,13 @@ def relationships_where(
 ) -> DataFrame:
     """Child rows whose key no parent row has; both sides filtered first.
 
-    Parent keys collapse before they shuffle, so one that repeats costs little.
+    Keys of both sides collapse before they shuffle, so one that repeats, in the child
+    as in the parent, costs little; orphans are repeated as often as they occur.
     """
-    keys = child.filter(F.expr(from_condition) & F.col(column).isNotNull()).select(F.col(column).alias("id"))
+    rows = child.filter(F.expr(from_condition) & F.col(column).isNotNull())
+    keys = rows.groupBy(F.col(column).alias("id")).agg(_count().alias("__n"))
     known = parent.filter(F.expr(to_condition) & F.col(field).isNotNull()).select(F.col(field).alias("right_id")).distinct()
-    lost = keys.join(known, F.col("id") == F.col("right_id"), "left_anti")
+    lost = repeat_rows(keys.join(known, F.col("id") == F.col("right_id"), "left_anti"), "__n")
     return lost.withColumn("right_id", F.lit(None).cast(parent.schema[field].dataType))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,7 +16,8 @@ from tallyhouse.plans.monthly import monthly_customer_summary
 from tallyhouse.plans.performance import product_performance
 from tallyhouse.plans.products import dim_products
 from tallyhouse.plans.staging import stg_transactions
-from tallyhouse.sources.raw import load_raw, reconcile, replace_table
+from tallyhouse.sources.raw import load_raw
+from tallyhouse.sources.versions import read_table, replace_table
 
 LAYERS = {
     "customer_transactions": "raw",
@@ -40,7 +42,8 @@ class Warehouse:
 
     Staging has some seven readers, from the marts to the tests, so it is written
     once instead of parsing the text for each. ``staging_view`` leaves it a view,
-    which saves its storage and costs that parsing.
+    which saves its storage and costs that parsing. ``padded_names`` fills the day and
+    month names of the calendar with blanks to nine characters.
     """
 
     def __init__(
@@ -50,12 +53,14 @@ class Warehouse:
         source: Callable[[], DataFrame],
         ctx: RunContext,
         staging_view: bool = False,
+        padded_names: bool = False,
     ) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
         self.source = source
         self.ctx = ctx
         self.staging_view = staging_view
+        self.padded_names = padded_names
         self._built: set[str] = set()
 
     def path(self, name: str) -> str:
@@ -69,9 +74,9 @@ class Warehouse:
             if name == "customer_transactions":
                 load_raw(self.spark, self.source(), self.path(name), self.ctx)
             else:
-                reconcile(self.spark, self.path(name), replace_table(self.model(name), self.path(name)))
+                replace_table(self.model(name), self.path(name))
             self._built.add(name)
-        return self.spark.read.parquet(self.path(name))
+        return read_table(self.spark, self.path(name))
 
     def model(self, name: str) -> DataFrame:
         """The query of a table over the tables it reads, not yet written."""
@@ -86,7 +91,7 @@ class Warehouse:
         build = {
             "dim_customers": dim_customers,
             "dim_products": dim_products,
-            "dim_dates": dim_dates,
+            "dim_dates": partial(dim_dates, padded_names=self.padded_names),
             "fact_transactions": fact_transactions,
         }[name]
         return build(stg, self.ctx)

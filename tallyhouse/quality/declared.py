@@ -1,8 +1,9 @@
 """The declared tests of every table, run in few passes per table.
 
 Rules about single rows become conditional counts in one aggregate. Rules about
-values emit only the offending values. Only uniqueness and references shuffle, and
-they shuffle nothing but the key.
+values emit only the offending values. Only rules about keys shuffle, and they shuffle
+nothing but the key: columns that refer to each other meet in one grouping, which
+answers all their rules at once.
 """
 
 from __future__ import annotations
@@ -202,6 +203,55 @@ def _literal(value: Any) -> str:
     return str(value).upper() if isinstance(value, bool) else "'" + str(value).replace("'", "\\'") + "'"
 
 
+Role = tuple[str, str, str | None]
+
+
+def _roles(table: str, rule: Rule) -> list[Role]:
+    """The columns, with their filters, whose keys a rule looks at: its own, then its parent's."""
+    if rule.kind not in ("unique", "relationships"):
+        return []
+    own = [(table, rule.column, rule.where)]
+    return [*own, (rule.to, rule.field, None)] if rule.to else own
+
+
+def _domains(flat: list[tuple[str, Rule]]) -> list[list[Role]]:
+    """Roles whose keys are compared with each other, directly or through a common one."""
+    domains: list[list[Role]] = []
+    for roles in (_roles(t, r) for t, r in flat):
+        if roles:
+            met = [d for d in domains if set(d) & set(roles)]
+            joined = list(dict.fromkeys([role for d in met for role in d] + roles))
+            domains = [d for d in domains if d not in met] + [joined]
+    return domains
+
+
+def _key_pass(domain: list[Role], flat: list[tuple[str, Rule]], tables: dict[str, DataFrame]) -> tuple[set[int], DataFrame]:
+    """All rules about the keys of one domain in one grouping: missing, repeated and orphaned ones.
+
+    Every key column is read once and tagged with its role. Equal keys collapse before the
+    shuffle to one row with a count per role, so a hot key costs one row a task.
+    """
+    tagged = [
+        tables[t].filter(where or "TRUE").select(F.col(c).alias("key"), F.lit(i).alias("role")) for i, (t, c, where) in enumerate(domain)
+    ]
+    counts = union_all(tagged).groupBy("key").agg(*[F.count_if(F.col("role") == i).alias(f"n{i}") for i in range(len(domain))])
+    sums = {}
+    for no, (table, rule) in enumerate(flat):
+        roles = _roles(table, rule)
+        if roles and roles[0] in domain:
+            own = domain.index(roles[0])
+            if rule.kind == "unique":
+                sums[no] = f"count_if(key IS NOT NULL AND n{own} > 1)"
+            else:
+                sums[no] = f"coalesce(sum(CASE WHEN key IS NOT NULL AND n{domain.index(roles[1])} = 0 THEN n{own} END), 0L)"
+        elif rule.kind == "not_null" and (table, rule.column, rule.where) in domain:
+            own = domain.index((table, rule.column, rule.where))
+            sums[no] = f"coalesce(sum(CASE WHEN key IS NULL THEN n{own} END), 0L)"
+    wide = counts.selectExpr(*[f"{e} AS f{no}" for no, e in sums.items()])
+    pairs = ", ".join(f"struct({no} AS test_no, f{no} AS failures)" for no in sums)
+    return set(sums), wide.selectExpr(f"inline(array({pairs}))")
+
+
 def _failures(
     df: DataFrame, rules: dict[int, Rule], tables: dict[str, DataFrame], ctx: RunContext
 ) -> list[DataFrame]:
@@ -210,9 +260,6 @@ def _failures(
     sums: dict[int, str] = {}
     offending: list[str] = []
 
-    def numbered(i: int, failures: DataFrame) -> DataFrame:
-        return failures.toDF("failures").select(F.lit(i).alias("test_no"), "failures")
-
     for i, rule in rules.items():
         bad = _row_rule(rule)
         scope = rule.where or "TRUE"
@@ -225,14 +272,11 @@ def _failures(
                 wrong = f"({scope}) AND {rule.column} NOT IN ({', '.join(_literal(v) for v in rule.values)})"
                 found = f"struct({i} AS test_no, CAST({rule.column} AS STRING) AS value)"
                 offending.append(f"CASE WHEN {wrong} THEN {found} END")
-        elif rule.kind == "relationships":
-            rows = df.filter(scope)
-            parts.append(numbered(i, V.orphan_count(rows, rule.column, tables[rule.to], rule.field)))
         else:
-            found = as_test(rule, tables, ctx).failing_rows(df)
-            parts.append(numbered(i, found.agg(F.count(F.lit(1)))))
+            found = as_test(rule, tables, ctx).failing_rows(df).agg(F.count(F.lit(1)).alias("failures"))
+            parts.append(found.select(F.lit(i).alias("test_no"), "failures"))
     if sums:
-        wide = df.selectExpr("count(1) AS n", *[f"{c} AS f{i}" for i, c in sums.items()])
+        wide = df.selectExpr(*[f"{c} AS f{i}" for i, c in sums.items()])
         pairs = ", ".join(f"struct({i} AS test_no, f{i} AS failures)" for i in sums)
         parts.append(wide.selectExpr(f"inline(array({pairs}))"))
     if offending:
@@ -247,8 +291,13 @@ def run_declared(tables: dict[str, DataFrame], ctx: RunContext, only: Sequence[s
     tested = tables if only is None else only
     flat = [(t, r) for t, rules in declared_rules(ctx).items() if t in tested for r in rules]
     parts: list[DataFrame] = []
+    keyed: set[int] = set()
+    for domain in _domains(flat):
+        answered, found = _key_pass(domain, flat, tables)
+        keyed |= answered
+        parts.append(found)
     for table in dict.fromkeys(t for t, _ in flat):
-        rules = {i: r for i, (t, r) in enumerate(flat) if t == table}
+        rules = {i: r for i, (t, r) in enumerate(flat) if t == table and i not in keyed}
         parts += _failures(tables[table], rules, tables, ctx)
     # about a hundred rows come in, so one small shuffle adds them up
     found = union_all(parts).groupBy("test_no").agg(F.sum("failures").alias("failures"))

@@ -25,12 +25,11 @@ from tallyhouse.sources.raw import (
     load_raw,
     profile,
     read_raw,
-    reconcile,
-    replace_table,
     union_all,
     write_landing,
 )
 from tallyhouse.sources.tables import table
+from tallyhouse.sources.versions import read_table, reconcile, replace_table
 
 _RAW = ", ".join(RAW_COLUMNS)
 
@@ -101,7 +100,7 @@ def load_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = workspace(spark, sf_dir, "reconciled")
     written = replace_table(raw(spark, sf_dir), path)
     stored = reconcile(spark, path, written)
-    counts = spark.read.parquet(path).groupBy("product_id").agg(F.count(F.lit(1)).alias("stored_rows"))
+    counts = read_table(spark, path).groupBy("product_id").agg(F.count(F.lit(1)).alias("stored_rows"))
     return counts.withColumn("source_rows", F.lit(stored).cast("bigint"))
 
 
@@ -155,7 +154,7 @@ def scd1_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
         ctx = RunContext(datetime(2016, 8, day, 6), f"run-2016-08-{day}", CTX.source_file)
         replace_table(dim_customers(staged(spark, sf_dir), ctx), path)
     return comparable(
-        spark.read.parquet(path).select(
+        read_table(spark, path).select(
             "customer_id", "total_transactions", "days_since_last_transaction", "dim_created_at", "dim_updated_at"
         )
     )

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyhouse.context import RunContext, scratch_table
-from tallyhouse.sources.records import RecordError, csv_records
+from tallyhouse.sources.errors import LoadError
+from tallyhouse.sources.records import csv_records
+from tallyhouse.sources.versions import read_table, replace_table
 
 # The column names of a transaction file, in file order.
 RAW_COLUMNS = [
@@ -32,10 +34,6 @@ NULL_TOKENS = [
 RAW_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in RAW_COLUMNS])
 
 
-class LoadError(ValueError):
-    """A load gate was not passed."""
-
-
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
     """CSV scan with every column as text and the missing-value texts as NULL.
 
@@ -43,10 +41,7 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
     fewer fields than the header is an error that shows it; so is a file with another
     header, or an unpaired quote. Counts quotes in a first pass over the files.
     """
-    try:
-        records = csv_records(spark, path, RAW_COLUMNS)
-    except RecordError as problem:
-        raise LoadError(str(problem)) from problem
+    records = csv_records(spark, path, RAW_COLUMNS)
     schema = f"{RAW_SCHEMA.toDDL()}, __broken STRING"
     options = {"escape": '"', "multiLine": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__broken"}
     fields = records.select(F.from_csv("value", F.lit(schema), options).alias("r"), "value")
@@ -120,27 +115,6 @@ def add_lineage(df: DataFrame, ctx: RunContext) -> DataFrame:
     )
 
 
-def replace_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> int:
-    """Overwrite a table with ``df``; running it again gives the same table.
-
-    Returns the row count seen while writing, which costs no further pass.
-    """
-    seen = Observation()
-    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return seen.get["rows"]
-
-
-def reconcile(spark: SparkSession, path: str, expected: int) -> int:
-    """Compare the stored row count (read from the file footers) with the source's."""
-    stored = spark.read.parquet(path).count()
-    if stored != expected:
-        raise LoadError(f"{path} holds {stored} rows, the source had {expected}")
-    return stored
-
-
 def check_loaded(df: DataFrame, required: list[str] = RAW_COLUMNS) -> DataFrame:
     """Gate after a load: rows are there and no required column is missing."""
     missing = sorted(set(required) - set(df.columns))
@@ -153,9 +127,8 @@ def check_loaded(df: DataFrame, required: list[str] = RAW_COLUMNS) -> DataFrame:
 
 def load_raw(spark: SparkSession, source: DataFrame, path: str, ctx: RunContext) -> DataFrame:
     """Truncate-and-load with lineage, reconciled and gated."""
-    rows = replace_table(add_lineage(source.select(*RAW_COLUMNS), ctx), path)
-    reconcile(spark, path, rows)
-    return check_loaded(spark.read.parquet(path))
+    replace_table(add_lineage(source.select(*RAW_COLUMNS), ctx), path)
+    return check_loaded(read_table(spark, path))
 
 
 def freshness(

@@ -14,9 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-
-class RecordError(ValueError):
-    """A file that cannot be cut into records."""
+from tallyhouse.sources.errors import LoadError
 
 
 # blocks listed by the driver and sent to every task; a row is a file name and a few numbers
@@ -103,7 +101,7 @@ def _put_together(lines: DataFrame) -> DataFrame:
 def csv_records(spark: SparkSession, path: str, header: list[str]) -> DataFrame:
     """One row per record (column ``value``), without the header every file begins with.
 
-    Blank records are left out. Raises ``RecordError`` for a file with another header,
+    Blank records are left out. Raises ``LoadError`` for a file with another header,
     or a quote that is never closed.
     """
     lines = _lines(spark, path)
@@ -111,7 +109,7 @@ def csv_records(spark: SparkSession, path: str, header: list[str]) -> DataFrame:
     # the blocks with problems first, then those that need more than their lines
     listed = states.orderBy(F.col("problem").desc_nulls_last(), F.col("mixed").desc()).limit(MOST_LISTED + 1).collect()
     if listed and listed[0]["problem"]:
-        raise RecordError(f"{listed[0]['file_path']}: {listed[0]['problem']}")
+        raise LoadError(f"{listed[0]['file_path']}: {listed[0]['problem']}")
     if len(listed) <= MOST_LISTED:
         known = F.broadcast(spark.createDataFrame(listed, states.schema))
     else:

@@ -148,6 +148,19 @@ def test_relationships(make):
     assert V.orphan_count(child, "id", parent, "id").first()[0] == 2
 
 
+def test_a_hot_child_key_is_one_row_of_the_join(spark, make):
+    child = spark.range(0, 30_000, 1, 6).selectExpr("CASE WHEN id % 3 = 0 THEN id ELSE 7 END AS k")
+    parent = make("p bigint", [(i,) for i in range(0, 30_000, 2)])
+    found = V.relationships_where(child, "k", parent, "p")
+    assert found.groupBy("id").count().orderBy(F.desc("count")).first()[:] == (7, 20_000)
+    assert found.count() == 20_000 + 5_000 and found.filter("right_id IS NOT NULL").count() == 0
+    assert rows(V.relationships(child, "k", parent, "p").filter("from_field < 5")) == [(3,)]
+    # the child is counted before its first exchange
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    scan = plan[: plan.index("Range (")].splitlines()
+    assert any("HashAggregate" in line for line in scan[-4:])
+
+
 def test_sequential_values(make):
     even = make("g int, v int", [(1, 2), (1, 4), (1, 6), (2, 8), (2, 10)])
     assert rows(V.sequential_values(even, "v", 2)) == []

@@ -26,10 +26,9 @@ from tallyhouse.sources.raw import (
     load_raw,
     profile,
     read_raw,
-    reconcile,
-    replace_table,
     write_landing,
 )
+from tallyhouse.sources.versions import current, read_table, reconcile, replace_table
 
 ROWS = [
     ("2001", "11.0", "2023-07-05", "201", "Product A", "2.0", "10.00", "1.50"),
@@ -253,6 +252,31 @@ def test_load_gates(spark, ctx, tmp_path):
         check_loaded(df.filter("false"))
 
 
+def test_a_failed_replacement_leaves_the_old_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    with pytest.raises(LoadError):
+        read_table(spark, path)
+    replace_table(spark.range(3), path)
+    lost = spark.range(10).select(F.when(F.col("id") < 9, F.col("id")).otherwise(F.raise_error(F.lit("lost"))).alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        replace_table(lost, path)
+    assert read_table(spark, path).count() == 3
+    # a table may be replaced by what is read from it
+    begun = read_table(spark, path)
+    assert replace_table(begun.withColumn("id", F.col("id") * 2), path) == 3
+    assert sorted(r.id for r in read_table(spark, path).collect()) == [0, 2, 4]
+    assert sorted(r.id for r in begun.collect()) == [0, 1, 2]
+    assert len(list((tmp_path / "t").glob("v*"))) == 2 and current(spark, path).endswith("v00000003")
+    replace_table(spark.range(7).withColumn("day", F.col("id") % 2), path, ["day"])
+    assert read_table(spark, path).filter("day = 1").count() == 3 and len(list((tmp_path / "t").glob("v*"))) == 2
+
+
+def test_padded_names_reach_the_calendar(spark, ctx, sample, tmp_path):
+    house = Warehouse(spark, str(tmp_path), lambda: check_input(spark, sample), ctx, padded_names=True)
+    row = house.table("dim_dates").filter("date_day = DATE '2023-07-05'").first()
+    assert row.day_name == "Wednesday" and row.month_name == "July     "
+
+
 @pytest.mark.parametrize("hours, status", [(24, "pass"), (25, "warn"), (48, "warn"), (49, "error")])
 def test_freshness(spark, ctx, hours, status):
     df = spark.sql(f"SELECT TIMESTAMP_NTZ '2023-07-21 06:00:00' - INTERVAL {hours} HOURS AS ingested_at")
