@@ -3,7 +3,8 @@
 A rule (host, path) fits its host, every subdomain of it, and paths that start with
 its path. Its canonical key is the host's labels in reverse, a slash, and the path,
 so the keys it fits form one interval: those that start with it. A page has one key
-for each suffix of its host. Rules and keys are sorted together; a sweep carries the
+for each suffix of its host that has no more labels than the longest rule's, cut to the
+length of the longest rule, so a long URL costs no more than its own length. Rules and keys are sorted together; a sweep carries the
 stack of rules that are nested around the last rule passed, and a key takes the
 innermost rule of the stack that still holds. Ranges of the sorted order are swept
 apart; each starts with the rules that are open at its first key. The longest rule
@@ -12,7 +13,8 @@ the one that blocks).
 
 Defined results: a null url, or one without ``://``, has empty host and path. A page
 no rule fits gets the default verdict and a null rule. Rules with a null host or path
-fit nothing. Repeated pages are judged alike and all returned.
+fit nothing. Repeated pages are judged alike and all returned. Without rules every page
+gets the default; without pages there are no rows. Hosts and paths may be of any length.
 """
 
 from __future__ import annotations
@@ -40,14 +42,15 @@ def reversed_labels(host: Column) -> Column:
     return F.reverse(F.split(host, r"\."))
 
 
-def prefixes_from(key: Column, shortest: Column) -> Column:
-    """All starts of a key that are at least so long."""
-    return F.transform(F.sequence(shortest, F.length(key)), lambda n: F.substring(key, F.lit(1), n))
+def prefixes(key: Column, lengths: list[int]) -> Column:
+    """The starts of a key that are as long as some rule's key."""
+    fitting = F.filter(F.array(*map(F.lit, lengths)).cast("array<int>"), lambda n: n <= F.length(key))
+    return F.transform(fitting, lambda n: F.substring(key, F.lit(1), n))
 
 
-def open_rules(keys: DataFrame, by: str, rules: DataFrame) -> DataFrame:
+def open_rules(keys: DataFrame, by: str, rules: DataFrame, lengths: list[int]) -> DataFrame:
     """For every row of ``keys`` (columns ``by``, key) the rules whose key starts its own, outermost first."""
-    starts = keys.select(by, F.explode(prefixes_from(F.col("key"), F.instr("key", "/"))).alias("key"))
+    starts = keys.select(by, F.explode(prefixes(F.col("key"), lengths)).alias("key"))
     return (
         starts.join(rules, "key")
         .groupBy(by)
@@ -68,23 +71,29 @@ def judge(pages: DataFrame, page_id: str, url: str, rules: DataFrame, default: s
             F.concat(F.array_join(reversed_labels(F.col("host")), "."), F.lit("/"), "path").alias("key"),
             F.concat("host", "path").alias("rule"),
             F.length("host").alias("host_size"),
+            F.size(reversed_labels(F.col("host"))).alias("labels"),
             "verdict",
         )
     )
     held = stages.write("rules", held)
+    # numbers up to the longest rule's; no page is looked at in more detail than some rule has
+    lengths = sorted(r[0] for r in held.select(F.length("key")).distinct().collect())
+    longest, labels_used = max(lengths, default=0), held.agg(F.max("labels")).first()[0] or 1
+    held = held.drop("labels")
     asked = (
         pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"))
         .groupBy("page_id", "url")
         .agg(F.count("*").alias("copies"))
         .select("page_id", "copies", "url", host.alias("host"), path.alias("path"))
     )
-    labels = reversed_labels(F.col("host"))
+    labels = F.slice(reversed_labels(F.col("host")), 1, labels_used)
+    start = F.substring("path", 1, longest)
     keys = F.transform(
         F.sequence(F.lit(1), F.size(labels)),
-        lambda n: F.concat(F.array_join(F.slice(labels, F.lit(1), n), "."), F.lit("/"), F.col("path")),
+        lambda n: F.left(F.concat(F.array_join(F.slice(labels, F.lit(1), n), "."), F.lit("/"), start), F.lit(longest)),
     )
     probes = asked.select("page_id", "copies", "url", "host", "path", F.explode(keys).alias("key"), F.lit(1).alias("kind"))
-    starts = open_rules(held.select(F.col("key").alias("of"), "key"), "of", held).select(F.col("of").alias("key"), "stack", F.lit(0).alias("kind"))
+    starts = open_rules(held.select(F.col("key").alias("of"), "key"), "of", held, lengths).select(F.col("of").alias("key"), "stack", F.lit(0).alias("kind"))
     # sorted runs of the whole order; page and url part the keys that many pages share
     swept = stages.write(
         "sweep",
@@ -93,7 +102,7 @@ def judge(pages: DataFrame, page_id: str, url: str, rules: DataFrame, default: s
         .withColumn("run", F.spark_partition_id()),
     )
     first = swept.groupBy("run").agg(F.min("key").alias("key"))
-    seeds = open_rules(first, "run", held).join(first, "run").withColumn("kind", F.lit(-1))
+    seeds = open_rules(first, "run", held, lengths).join(first, "run").withColumn("kind", F.lit(-1))
     order = W.partitionBy("run").orderBy("key", "kind", "page_id", "url").rowsBetween(W.unboundedPreceding, 0)
     stack = F.last("stack", ignorenulls=True).over(order)
     hits = (

@@ -279,6 +279,25 @@ def test_url_verdicts(spark):
     assert Counter(got) == Counter(expected)
 
 
+def test_urls_of_any_length_and_no_rules(spark):
+    deep = "a." * 100_000 + "example.net"
+    urls = ["!://" + "x" * 1_000_000, f"http://{deep}/en/" + "p" * 1_000_000, f"http://{deep}/e", "http://net" + "/" * 500_000, "", "://", "http://b.org/fr"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    rules = spark.sql(f"SELECT * FROM {url_filter.RULES} AS r(host, path, verdict)")
+    got = {r["page_id"]: (r["rule"], r["verdict"], len(r["host"]), len(r["path"])) for r in url_filter.judge(pages, "page_id", "url", rules).collect()}
+    assert got == {
+        0: (None, "allow", 1_000_000, 0),
+        1: ("example.net/en/", "allow", len(deep), 1_000_004),
+        2: ("net/", "block", len(deep), 2),
+        3: ("net/", "block", 3, 500_000),
+        4: (None, "allow", 0, 0),
+        5: (None, "allow", 0, 0),
+        6: (None, "allow", 5, 3),
+    }
+    assert {r["verdict"] for r in url_filter.judge(pages, "page_id", "url", rules.limit(0)).collect()} == {"allow"}
+    assert url_filter.judge(pages.limit(0), "page_id", "url", rules).count() == 0
+
+
 def test_op6_digest_columns(spark, tmp_path):
     texts = [(1, "ab" * 30), (2, None), (4, prose(1, 40)), (9, "")]
     spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
