@@ -154,6 +154,17 @@ def test_renamed_product_gives_two_rows_and_breaks_uniqueness(spark, ctx, tmp_pa
     assert (failed.failures, failed.status) == (1, "error")
 
 
+def test_windows_of_the_daily_performance_carry_few_columns(built):
+    house, tables = built
+    plan = house.model("product_performance")._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert len(windows) >= 2 and "RepartitionByExpression" not in plan
+    # the wide side meets the windows' results only after they are done
+    assert all("min_unit_price" not in line for line in windows)
+    day = tables["product_performance"].filter("product_key = 202").collect()
+    assert [(r.total_revenue, r.daily_revenue_rank, r.revenue_7day_avg, r.trend_indicator) for r in day] == [(165, 1, 165, "On Trend")]
+
+
 def test_equal_values_have_no_spread(spark, ctx, tmp_path):
     rows = [(str(i), "5", f"2023-0{1 + i % 3}-11", "101", "A", "1", "0.10", "0.20") for i in range(9)]
     house = Warehouse(spark, str(tmp_path), lambda: raw_of(spark, ctx, rows), ctx)
