@@ -24,28 +24,28 @@ LONGEST_RECORD = 256 * 1024 * 1024
 
 
 def _quotes(text: Column) -> Column:
-    return F.length(text) - F.length(F.replace(text, F.lit('"'), F.lit("")))
+    return F.octet_length(text) - F.octet_length(F.replace(text, F.lit('"'), F.lit("")))
 
 
-def _lines(spark: SparkSession, path: str) -> DataFrame:
+def _lines(spark: SparkSession, path: str, header: list[str]) -> DataFrame:
+    """Every line with its block, its place, its quotes, and whether it spells the header."""
     at = [F.col(f"_metadata.{c}").alias(c) for c in ("file_path", "file_block_start", "file_block_length")]
     text = spark.read.option("lineSep", "\n").text(path)
-    return text.select(*at, F.monotonically_increasing_id().alias("place"), "value", _quotes(F.col("value")).alias("quotes"))
-
-
-def _is_header(header: list[str]) -> Column:
-    plain = F.translate("value", '"\r﻿', "")
-    return (F.col("file_block_start") == 0) & (plain == ",".join(header))
+    spelled = ",".join(header)
+    # quotes around every name, a byte order mark and a carriage return may be there; most lines differ in length alone
+    size = F.octet_length("value").between(len(spelled), len(spelled) + 2 * len(header) + 4)
+    is_header = (F.col("_metadata.file_block_start") == 0) & size & (F.translate("value", '"\r﻿', "") == spelled)
+    return text.select(*at, F.monotonically_increasing_id().alias("place"), "value", _quotes(F.col("value")).alias("quotes"), is_header.alias("is_header"))
 
 
 def block_states(lines: DataFrame, header: list[str]) -> DataFrame:
     """Each block of each file: how it begins, whether its lines need putting together, what is wrong."""
-    first = F.min_by(F.when(F.col("file_block_start") == 0, _is_header(header)), "place")
+    first = F.min_by("is_header", "place")
     blocks = lines.groupBy("file_path", "file_block_start", "file_block_length").agg(
         F.sum("quotes").alias("quotes"),
         F.count_if(F.col("quotes") % 2 == 1).alias("turns"),
         first.alias("headed"),
-        F.count_if(_is_header(header)).alias("headers"),
+        F.count_if("is_header").alias("headers"),
     )
     file = Window.partitionBy("file_path")
     earlier = file.orderBy("file_block_start").rowsBetween(Window.unboundedPreceding, -1)
@@ -104,26 +104,23 @@ def csv_records(spark: SparkSession, path: str, header: list[str]) -> DataFrame:
     Blank records are left out. Raises ``LoadError`` for a file with another header,
     or a quote that is never closed.
     """
-    lines = _lines(spark, path)
+    lines = _lines(spark, path, header)
     states = block_states(lines, header)
     # the blocks with problems first, then those that need more than their lines
     listed = states.orderBy(F.col("problem").desc_nulls_last(), F.col("mixed").desc()).limit(MOST_LISTED + 1).collect()
     if listed and listed[0]["problem"]:
         raise LoadError(f"{listed[0]['file_path']}: {listed[0]['problem']}")
-    if len(listed) <= MOST_LISTED:
-        known = F.broadcast(spark.createDataFrame(listed, states.schema))
+    if not listed or not listed[0]["mixed"]:
+        # no line of any file leaves a quote open, so it does not matter where blocks begin
+        records = _only(lines, ~F.col("is_header"))
     else:
-        # so many blocks are of one fixed size; they are joined as their number allows
-        known = states
-    if len(listed) <= MOST_LISTED or listed[0]["mixed"]:
+        # beyond the limit blocks are of one fixed size and are joined as their number allows
+        known = F.broadcast(spark.createDataFrame(listed, states.schema)) if len(listed) <= MOST_LISTED else states
         marked = lines.join(known.drop("problem"), ["file_path", "file_block_start"], "left")
         same = F.coalesce(F.col("known_length") == F.col("file_block_length"), F.lit(False))
         moved = F.raise_error(F.lit("the blocks of the files changed between two passes; run again"))
         marked = marked.where(F.when(same, F.lit(True)).otherwise(moved.cast("boolean")))
-        records = _only(marked, ~F.col("mixed") & ~_is_header(header))
-    else:
-        records = _only(lines, ~_is_header(header))
-    if listed and listed[0]["mixed"]:
-        records = records.unionByName(_put_together(marked.where("mixed")))
+        plain = _only(marked, ~F.col("mixed") & ~F.col("is_header"))
+        records = plain.unionByName(_put_together(marked.where("mixed")))
     ended = F.when(F.endswith("value", F.lit("\r")), F.expr("left(value, length(value) - 1)")).otherwise(F.col("value"))
     return records.select(ended.alias("value")).where(F.trim("value") != "")
