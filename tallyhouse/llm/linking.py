@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from collections.abc import Callable
 from typing import NamedTuple
 
@@ -14,6 +15,9 @@ from tallyhouse.llm.common import Stages, union_all
 SMALL_BUCKET = 8
 #: New leaders that the first round takes of an unsettled bucket, about; each further round takes four times as many.
 FEW = 16
+#: Values that ``further`` gives for an id, and for each level how many of them are one key and how many such keys it takes.
+VALUES = 64
+LEVELS = ((4, 16), (6, 40))
 
 
 class Candidates(NamedTuple):
@@ -29,8 +33,8 @@ def candidate_pairs(members: list[DataFrame], stages: Stages) -> Candidates:
 
     In a small bucket all pairs; in a larger one every member with three leaders: the
     smallest id, the largest, and the one with the smallest hash. The number of pairs
-    thus follows the number of members. ``classes_of`` goes on with the members that are
-    linked to no leader. One frame is looked through after the other, and its shuffle
+    thus follows the number of members. ``classes_of`` goes on with what these pairs
+    leave in several classes. One frame is looked through after the other, and its shuffle
     files are released.
     """
     found = []
@@ -60,14 +64,15 @@ def bucket_pairs(members: DataFrame, stages: Stages) -> Candidates:
     return Candidates(pairs, stages.write("members", led.select("key", "id")), stages.write("leaders", heads))
 
 
-def classes_of(candidates: Candidates, verify: Callable[[DataFrame], DataFrame], stages: Stages) -> DataFrame:
+def classes_of(
+    candidates: Candidates, verify: Callable[[DataFrame], DataFrame], stages: Stages, further: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
     """(id, class) of all ids in verified pairs (a, b).
 
     First every id is verified against the smallest one it was paired with. That links
     most of a large class, and pairs within what is linked need no look any more; then
-    all pairs that lead elsewhere are verified. A member of a large bucket that is in no
-    leader's class by then is unsettled: round by round some of the unsettled become
-    leaders and are verified against all members outside their class, until none is left.
+    all pairs that lead elsewhere are verified. What large buckets still hold in several
+    classes is settled by ``further`` keys, or without them by ``by_leaders``.
     """
     pairs = candidates.pairs
     first = stages.write("first", pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
@@ -78,20 +83,91 @@ def classes_of(candidates: Candidates, verify: Callable[[DataFrame], DataFrame],
     apart = F.coalesce("class_a", "a") != F.coalesce("class_b", "b")
     rest = pairs.join(first, ["a", "b"], "left_anti").join(of_a, "a", "left").join(of_b, "b", "left").where(apart).select("a", "b")
     found = [links, stages.write("links_rest", verify(stages.write("rest", rest)))]
-    leaders, turn = [candidates.leaders], 0
+    stages.drop("first", "linked", "rest")
+    stages.release()
+    members, leaders = candidates.members, candidates.leaders
+    if further:
+        members = by_further_keys(members, further, found, verify, stages)
+        leaders = members.limit(0)
+    return by_leaders(members, leaders, found, verify, stages)
+
+
+def by_further_keys(
+    members: DataFrame, further: Callable[[DataFrame], DataFrame], found: list[DataFrame], verify: Callable[[DataFrame], DataFrame], stages: Stages
+) -> DataFrame:
+    """Put the ids of large buckets that hold several classes into smaller buckets, level by level; links go to ``found``.
+
+    ``further`` gives (id, values) of ids: VALUES numbers, of which alike ids have two thirds
+    or more in common. Then 0.97 of alike pairs meet at the first level, and as many at the second. A level's keys are some of them together. In a small bucket all pairs of
+    different classes are verified. In a large one all members are verified against the smallest id
+    if it is of another class, and go to the next level, whose keys are longer.
+    Returns the members (key, id) of buckets that are large at the last level.
+    """
+    values = None
+    for level, subsets in enumerate(key_places()):
+        labelled = with_class(members, found, stages)
+        several = labelled.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high").select("key")
+        ids = stages.write("open", labelled.join(several, "key").groupBy("id").agg(F.min("class").alias("class")))
+        if values is None:
+            values = stages.write("values", further(ids.select("id")))
+        keys = [F.xxhash64(F.lit(level), F.lit(number), *(F.col("values")[i] for i in places)) for number, places in enumerate(subsets)]
+        entries = values.join(ids, "id").select("id", "class", F.explode(F.array(*keys)).alias("key"))
+        head = [F.min("id").alias("head"), F.min_by("class", "id").alias("class_a")]
+        sizes = entries.groupBy("key").agg(F.count("*").alias("n"), F.min("class").alias("low"), F.max("class").alias("high"), *head)
+        sizes = stages.write("sizes", sizes.where("low < high").drop("low", "high"))
+        shared = stages.write("sharing", entries.join(sizes, "key"))
+        large = shared.where(F.col("n") > SMALL_BUCKET)
+        led = large.where("class <> class_a").select(F.col("head").alias("a"), F.col("id").alias("b"))
+        small = shared.where(F.col("n") <= SMALL_BUCKET).select("key", "id", "class")
+        other = small.select("key", F.col("id").alias("b"), F.col("class").alias("class_b"))
+        met = small.withColumnRenamed("id", "a").join(other, "key").where("a < b AND class <> class_b")
+        tried = stages.write("tried", met.select("a", "b").unionByName(led).distinct())
+        found.append(stages.write("links_more", verify(tried)))
+        members = stages.write("members", large.select("key", "id"))
+        stages.drop("open", "sizes", "sharing", "tried")
+        stages.release()
+    return members
+
+
+def key_places() -> list[list[list[int]]]:
+    """For each level the places of VALUES that each of its keys is made of, every place about equally often."""
+    rng = random.Random(0)
+    levels = []
+    for width, number in LEVELS:
+        places: list[int] = []
+        while len(places) < width * number:
+            places += rng.sample(range(VALUES), VALUES // width * width)
+        levels.append([places[i * width : (i + 1) * width] for i in range(number)])
+    return levels
+
+
+def with_class(members: DataFrame, found: list[DataFrame], stages: Stages) -> DataFrame:
+    """``members`` (key, id) and the class of each id by the links ``found``."""
+    classes = components(union_all(found), stages)
+    return members.join(classes, "id", "left").select("key", "id", F.coalesce("class", "id").alias("class"))
+
+
+def by_leaders(members: DataFrame, leaders: DataFrame, found: list[DataFrame], verify: Callable[[DataFrame], DataFrame], stages: Stages) -> DataFrame:
+    """(id, class) by the links ``found`` and further ones within the buckets of ``members``.
+
+    A member that is in no leader's class is unsettled: round by round some of the
+    unsettled become leaders and are verified against all members outside their class,
+    until none is left.
+    """
+    led_by, turn = [leaders], 0
     while True:
         classes = components(union_all(found), stages)
         class_of = F.coalesce("class", "id").alias("class")
-        members = stages.write("labelled", candidates.members.join(classes, "id", "left").select("key", "id", class_of))
-        led = union_all(leaders).join(members, ["key", "id"]).select("key", "class").distinct()
-        unsettled = stages.write("unsettled", members.join(led, ["key", "class"], "left_anti"))
+        labelled = stages.write("labelled", members.join(classes, "id", "left").select("key", "id", class_of))
+        led = union_all(led_by).join(labelled, ["key", "id"]).select("key", "class").distinct()
+        unsettled = stages.write("unsettled", labelled.join(led, ["key", "class"], "left_anti"))
         if not unsettled.limit(1).count():
             return classes
         turn += 1
         more = new_leaders(unsettled, turn)
-        leaders.append(stages.write("more", more))
-        heads = leaders[-1].join(members, ["key", "id"]).select("key", F.col("id").alias("head"), F.col("class").alias("of"))
-        met = members.join(stages.write("heads", heads), "key").where(F.col("class") != F.col("of"))
+        led_by.append(stages.write("more", more))
+        heads = led_by[-1].join(labelled, ["key", "id"]).select("key", F.col("id").alias("head"), F.col("class").alias("of"))
+        met = labelled.join(stages.write("heads", heads), "key").where(F.col("class") != F.col("of"))
         tried = stages.write("tried", met.select(F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b")).distinct())
         found.append(stages.write("links_more", verify(tried)))
         stages.drop("labelled", "unsettled", "heads", "tried")
@@ -128,4 +204,5 @@ def components(links: DataFrame, stages: Stages) -> DataFrame:
         stages.drop(f"labels{turn - 1}")
         labels = moved.select("id", "class")
         if not moved.where("moved").limit(1).count():
+            stages.drop("links")
             return labels

@@ -199,3 +199,22 @@ def test_pipeline_from_documents_to_pieces(spark, tmp_path):
     empty = spark.createDataFrame([], schema)
     for _, stage in corpus_pipeline.STAGES[3:]:
         assert stage(spark, empty, "").count() == 0
+
+def test_near_classes_of_texts_that_share_a_passage(spark):
+    rng = random.Random(16)
+    passage = prose(1, 60)
+    texts = []
+    for base in range(60):
+        own = [f"{w}{base}" for w in prose(200 + base, rng.randint(40, 70))]
+        texts.append(own[:20] + passage + own[20:])
+        if base % 6 == 0:  # at the lower end of what is a near copy
+            changed = list(texts[-1])
+            for at in rng.sample(range(len(changed)), len(changed) // 6):
+                changed[at] = f"changed{base}"
+            texts.append(changed)
+    expected = groups(texts, lambda a, b: distance(a, b) <= 0.2 * max(len(a), len(b)) + 1e-9)
+    frame = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = defaultdict(list)
+    for r in order_minhash.near_duplicates(frame, "doc_id", "text").collect():
+        got[r["class_id"]].append(r["doc_id"])
+    assert sorted(map(sorted, got.values())) == sorted(expected)

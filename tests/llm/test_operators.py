@@ -378,3 +378,31 @@ def test_texts_that_share_an_id_stay_apart(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     got = corpus_pipeline.dedup_documents(spark, docs, "").collect()
     assert Counter(map(tuple, got)) == Counter([(1, one, "a"), (1, other, "a"), rows[5], rows[6]])
+
+
+def test_a_large_bucket_is_settled_by_further_keys(spark):
+    """Every link is found, with far fewer pairs than the bucket has."""
+    alike = [{5, 6}, {11, 30, 47}, {60, 61, 62}, set(range(100, 400))]
+    members = spark.range(3000).select(F.lit(7).cast("long").alias("key"), "id")
+    links = spark.createDataFrame([(a, b) for some in alike for a in some for b in some if a < b], "a long, b long")
+    first = spark.createDataFrame([(i, min(some)) for some in alike for i in some], "id long, of long")
+    tried = []
+
+    def verify(pairs):
+        tried.append(pairs.count())
+        return pairs.join(links, ["a", "b"])
+
+    def further(ids):
+        # alike ids agree in some three of four values, two thirds being the least that alike texts have
+        own = F.transform(F.sequence(F.lit(1), F.lit(linking.VALUES)), lambda i: F.when(F.xxhash64("id", i) % 8 == 0, F.xxhash64("id", i)).otherwise(F.xxhash64("of", i)))
+        return ids.join(first, "id", "left").withColumn("of", F.coalesce("of", "id")).select("id", own.alias("values"))
+
+    stages = Stages(spark)
+    classes = linking.classes_of(linking.candidate_pairs([members], stages), verify, stages, further)
+    found = defaultdict(set)
+    for r in classes.collect():
+        found[r["class"]].add(r["id"])
+    assert sorted(map(sorted, found.values())) == sorted(map(sorted, alike))
+    assert sum(tried) < 20 * 3000
+    places = linking.key_places()
+    assert [{len(set(key)) for key in keys} for keys in places] == [{4}, {6}] and [len(keys) for keys in places] == [16, 40]
