@@ -328,6 +328,19 @@ def test_links_within_a_large_bucket(spark):
     assert sorted(map(min, found.values())) == [5, 11, 60, 100] and all(some in alike for some in found.values())
 
 
+def test_links_between_the_classes_of_two_leaders(spark, monkeypatch):
+    """Every member is in the class of the smallest or of the largest id; one link joins them, and it has no leader."""
+    monkeypatch.setattr(linking, "PART", 3)
+    members = spark.range(12).select(F.lit(7).cast("long").alias("key"), "id")
+    middle = members.orderBy(F.xxhash64("id")).first()["id"]
+    x = next(i for i in (1, 2, 3) if i != middle)
+    y = next(i for i in (8, 9, 10) if i != middle)
+    links = spark.createDataFrame([*((0, i) for i in range(1, 6)), *((i, 11) for i in range(6, 11)), (x, y)], "a long, b long")
+    stages = Stages(spark)
+    classes = linking.classes_of(linking.candidate_pairs([members], stages), lambda pairs: pairs.join(links, ["a", "b"]), stages)
+    assert {(r["id"], r["class"]) for r in classes.collect()} == {(i, 0) for i in range(12)}
+
+
 def test_simhash_of_a_heavy_line(spark, monkeypatch):
     words = spark.range(9_000_000).select(F.lit(7).cast("long").alias("line"), F.lit("w" * 16).alias("word"))
     assert line_dedup.simhash(words).first()["simhash"] == words.select(F.xxhash64("word")).first()[0]
