@@ -64,6 +64,18 @@ def test_more_blocks_than_are_listed(spark, blocks, tmp_path, monkeypatch):
     assert Counter(map(tuple, read_raw(spark, landing(tmp_path / "b", [plain, []])).collect())) == Counter(plain)
 
 
+@pytest.mark.parametrize("size", [1 << 27, 400])
+def test_lines_are_put_in_order_in_tasks_of_few(spark, blocks, tmp_path, monkeypatch, size):
+    """A block is cut into chunks, and there are as many tasks as the lines need, so none holds a whole block."""
+    monkeypatch.setattr(records, "CHUNK_LINES", 8)
+    monkeypatch.setattr(records, "LINES_PER_TASK", 8)
+    blocks(size)
+    rows = awkward(6, 60)
+    found = records.csv_records(spark, landing(tmp_path / "a", [rows[:40], rows[40:]]), RAW_COLUMNS)
+    assert found.rdd.getNumPartitions() > 400 // 8
+    assert Counter(map(tuple, read_raw(spark, str(tmp_path / "a")).collect())) == Counter(rows)
+
+
 def test_written_rows_come_back(spark, tmp_path):
     rows = awkward(2, 50)
     frame = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in RAW_COLUMNS))
