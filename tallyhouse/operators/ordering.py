@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tallyhouse.context import scratch_table
 
 # rows that a single task may sort
-ROWS_PER_TASK = 20_000_000
+ROWS_PER_TASK = 2_000_000
 # rows, one per range, that may be broadcast
 MAX_BROADCAST_RANGES = 500_000
 # rows one task may write out when a counted row is repeated
