@@ -384,3 +384,13 @@ def test_declared_suite_counts_failures_of_every_kind(spark, ctx):
     assert got["not_null_customer_id"] == 1
     assert got["not_null_customer_name"] == 2
     assert [v for k, v in got.items() if k.startswith("expression_is_true_total_transactions")] == [2]
+
+
+def test_queries_read_staging_as_a_view(spark):
+    """The wide staging table is not written for queries that need a part of it."""
+    from tallyhouse.registry.common import warehouse
+
+    tables = warehouse(spark, "/root/testdata/sf0.001")
+    staged = tables.table("stg_transactions")
+    assert not any("/staging/" in f for f in staged.inputFiles())
+    assert staged.count() == tables.table("customer_transactions").count()
