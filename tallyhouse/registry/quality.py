@@ -168,5 +168,6 @@ def _key_failures(key: str) -> dict:
 )
 def layer_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = warehouse(spark, sf_dir)
-    report = quality_report({name: tables.table(name) for name in LAYERS})
+    layers = dict.fromkeys(LAYERS.values())
+    report = quality_report({name: df for layer in layers for name, df in tables.build_layer(layer).items()})
     return report.select("layer", "table_name", "check_type", "column_name", "total_rows", "failed_rows", "status")
