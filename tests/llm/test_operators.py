@@ -419,3 +419,27 @@ def test_a_large_bucket_is_settled_by_further_keys(spark):
     assert sum(tried) < 20 * 3000
     places = linking.key_places()
     assert [{len(set(key)) for key in keys} for keys in places] == [{4}, {6}] and [len(keys) for keys in places] == [16, 40]
+
+
+def test_only_starts_with_different_surroundings_are_judged_by_their_bytes(spark, monkeypatch):
+    rng = random.Random(7)
+    copy, other = ("".join(rng.choices("abcdefgh ", k=400)) for _ in "ab")
+    frame = spark.createDataFrame([(i, copy) for i in range(6)] + [(9, other)], "doc_id long, text string")
+    seen = []
+
+    def judge(entries, judge=substring_dedup.answers):
+        seen.append(entries.count())
+        return judge(entries)
+
+    monkeypatch.setattr(substring_dedup, "answers", judge)
+    got = {r["doc_id"]: r["n_removed"] for r in substring_dedup.dedup_substrings(frame, "doc_id", "text").collect()}
+    assert got == {0: 0, 9: 0} | {i: 400 for i in range(1, 6)} and seen == [0]
+
+
+def test_keys_of_phrase_starts_are_packed_without_loss():
+    rng = np.random.default_rng(0)
+    few, many = (np.unique(rng.integers(0, 1 << substring_dedup.KEY_BITS, n, dtype=np.uint64)) for n in (3, 300_000))
+    for keys in (few, many, np.array([0, (1 << substring_dedup.KEY_BITS) - 1], np.uint64)):
+        blobs = substring_dedup.packed(keys)
+        assert np.concatenate([substring_dedup.unpacked(i, x) for i, x in enumerate(blobs)]).tolist() == keys.tolist()
+    assert sum(map(len, substring_dedup.packed(many))) < 5 * len(many)
