@@ -443,3 +443,18 @@ def test_keys_of_phrase_starts_are_packed_without_loss():
         blobs = substring_dedup.packed(keys)
         assert np.concatenate([substring_dedup.unpacked(i, x) for i, x in enumerate(blobs)]).tolist() == keys.tolist()
     assert sum(map(len, substring_dedup.packed(many))) < 5 * len(many)
+
+
+def test_pairs_are_judged_in_slices_that_carry_no_more_than_the_texts(spark, monkeypatch):
+    monkeypatch.setattr(linking, "LEAST_CARRIED", 1)
+    close = spark.createDataFrame([(a, b, 10) for a in range(40) for b in range(a + 1, 40)], "a long, b long, size int")
+    judged = []
+
+    def judge(some):
+        judged.append(some.count())
+        return some.where("(b - a) % 3 = 0")
+
+    got = linking.in_slices(close, 2000, judge, Stages(spark))
+    assert sorted(map(tuple, got.collect())) == [(a, b) for a in range(40) for b in range(a + 1, 40) if (b - a) % 3 == 0]
+    assert len(judged) == 4 and sum(judged) == 780 and max(judged) < 2 * 780 / 4
+    assert linking.in_slices(close.limit(0), 0, judge, Stages(spark)).count() == 0
