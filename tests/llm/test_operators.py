@@ -458,3 +458,26 @@ def test_pairs_are_judged_in_slices_that_carry_no_more_than_the_texts(spark, mon
     assert sorted(map(tuple, got.collect())) == [(a, b) for a in range(40) for b in range(a + 1, 40) if (b - a) % 3 == 0]
     assert len(judged) == 4 and sum(judged) == 780 and max(judged) < 2 * 780 / 4
     assert linking.in_slices(close.limit(0), 0, judge, Stages(spark)).count() == 0
+
+
+def test_heads_of_lines_tell_unlike_lines_and_no_near_ones(spark):
+    rng = random.Random(5)
+    pairs = []
+    for _ in range(1500):
+        a = "".join(rng.choice("abcd \u00f1") for _ in range(rng.choice([1, 2, 5, 12, 40])))
+        b = list(a)
+        for _ in range(rng.randrange(len(a) // 4 + 2)):
+            at = rng.randrange(len(b) + 1) if rng.random() < 0.5 else rng.choice([0, len(b)])
+            b[at : at + rng.randrange(2)] = rng.choice(["", "a", "xy"])
+        pairs.append((a, "".join(b)) if rng.random() < 0.5 else ("".join(b), a))
+    unlike = [(prose(100 + i, 60), prose(400 + i, 60)) for i in range(200)]
+    most = F.floor(F.greatest(F.length("left"), F.length("right")) * line_dedup.DIFFERENCE).cast("int")
+    near = F.levenshtein("left", "right") <= F.col("most")
+    for some in (pairs, unlike):
+        frame = spark.createDataFrame(some, "left string, right string").withColumn("most", most)
+        told = frame.select(line_dedup.heads_near("left", "right", "most").alias("heads"), near.alias("near")).collect()
+        assert not [r for r in told if r["near"] and not r["heads"]]
+        if some is unlike:
+            assert sum(r["heads"] for r in told) < 20
+        else:
+            assert 300 < sum(r["near"] for r in told) < 1300
