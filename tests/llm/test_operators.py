@@ -481,3 +481,24 @@ def test_heads_of_lines_tell_unlike_lines_and_no_near_ones(spark):
             assert sum(r["heads"] for r in told) < 20
         else:
             assert 300 < sum(r["near"] for r in told) < 1300
+
+
+def test_bytes_covered_by_marked_strings():
+    rng = np.random.default_rng(3)
+    reach, length = substring_dedup.REACH, substring_dedup.LENGTH
+    for size in (length, 60, 400):
+        expected = np.zeros(size, bool)
+        place, hit = [], []
+        for _ in range(5):
+            starts = rng.integers(0, size - length + 1)
+            p, bits = int(starts) + int(rng.integers(0, reach)), 0
+            for offset in range(reach):
+                first = p - (reach - 1) + offset
+                if 0 <= first <= size - length and rng.random() < 0.05:
+                    bits |= 1 << offset
+                    expected[first : first + length] = True
+            place.append(p)
+            hit.append(bits)
+        got = substring_dedup.removed_bytes(size, np.array(place), np.array(hit))
+        assert got.tolist() == expected.tolist()
+    assert not substring_dedup.removed_bytes(70, np.zeros(0, np.int64), np.zeros(0, np.int64)).any()
