@@ -502,3 +502,17 @@ def test_bytes_covered_by_marked_strings():
         got = substring_dedup.removed_bytes(size, np.array(place), np.array(hit))
         assert got.tolist() == expected.tolist()
     assert not substring_dedup.removed_bytes(70, np.zeros(0, np.int64), np.zeros(0, np.int64)).any()
+
+
+def test_parse_is_written_without_what_can_be_computed_and_bitmaps_go(spark, docs, monkeypatch):
+    written, sent = {}, []
+    write, send = Stages.write, type(spark.sparkContext).broadcast
+    monkeypatch.setattr(Stages, "write", lambda self, name, df, wide=False: written.setdefault(name, df.columns) and write(self, name, df, wide))
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: sent.append(send(self, value)) or sent[-1])
+    cleaned = substring_dedup.dedup_substrings(docs, "doc_id", "text")
+    assert "around" in written["parse"] and "entry" not in written["parse"]
+    assert len(sent) == 2
+    for bits in sent:
+        with pytest.raises(Exception, match="destroyed"):
+            bits._jbroadcast.value()
+    assert {r["doc_id"]: r["n_removed"] for r in cleaned.collect()}[2] > 0
