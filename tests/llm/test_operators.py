@@ -516,3 +516,20 @@ def test_parse_is_written_without_what_can_be_computed_and_bitmaps_go(spark, doc
         with pytest.raises(Exception, match="destroyed"):
             bits._jbroadcast.value()
     assert {r["doc_id"]: r["n_removed"] for r in cleaned.collect()}[2] > 0
+
+
+def test_links_found_later_join_classes_not_ids(spark, monkeypatch):
+    stages, rounds = Stages(spark), []
+    components = linking.components
+    monkeypatch.setattr(linking, "components", lambda links, stages: rounds.append(links.count()) or components(links, stages))
+    # classes 0, 10, 20, 30 of ten each; ids from 100 on have none
+    classes = spark.createDataFrame([(i, i // 10 * 10) for i in range(40)], "id long, class long")
+    pairs = [(a, b) for a in range(10, 20) for b in range(20, 30)] + [(3, 7), (35, 101), (101, 102), (200, 201), (39, 400)]
+    bad = (39, 400)
+    frame = spark.createDataFrame(pairs, "a long, b long")
+    got = dict(map(tuple, linking.verified(classes, frame, lambda some: some.where(f"a <> {bad[0]}"), stages).collect()))
+    assert rounds == [4]
+    assert got == {i: {2: 1}.get(i // 10, i // 10) * 10 for i in range(40)} | {101: 30, 102: 30, 200: 200, 201: 200}
+    # within classes there is nothing to follow
+    same = linking.verified(classes, frame.where("a = 3"), lambda some: some, stages)
+    assert same.count() == 40 and rounds == [4]
