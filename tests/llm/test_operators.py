@@ -533,3 +533,20 @@ def test_links_found_later_join_classes_not_ids(spark, monkeypatch):
     # within classes there is nothing to follow
     same = linking.verified(classes, frame.where("a = 3"), lambda some: some, stages)
     assert same.count() == 40 and rounds == [4]
+
+
+def test_further_keys_bring_no_pairs_together_that_differ_in_size(spark):
+    stages, tried = Stages(spark), []
+    members = spark.range(40).selectExpr("id AS key").selectExpr("0L AS key", "key AS id")
+    none = spark.createDataFrame([], "id long, class long")
+
+    def further(ids):
+        return ids.select("id", F.array(*[(F.col("id") / 4).cast("long")] * linking.VALUES).alias("values"), F.pow(10, F.col("id") % 2).alias("size"))
+
+    def verify(pairs):
+        tried.extend(map(tuple, pairs.collect()))
+        return pairs.where("false")
+
+    near = order_minhash.near_sizes("size_a", "size_b", 0.8)
+    linking.by_further_keys(members, further, none, verify, stages, near)
+    assert set(tried) == {(a, a + 2) for a in range(38) if a % 4 < 2}
