@@ -550,3 +550,36 @@ def test_further_keys_bring_no_pairs_together_that_differ_in_size(spark):
     near = order_minhash.near_sizes("size_a", "size_b", 0.8)
     linking.by_further_keys(members, further, none, verify, stages, near)
     assert set(tried) == {(a, a + 2) for a in range(38) if a % 4 < 2}
+
+
+def test_unlike_lines_of_a_large_bucket_are_not_all_judged(spark, monkeypatch):
+    """Every near line is found in one bucket that holds all lines, with far fewer pairs than it has."""
+    rng = random.Random(5)
+    vocabulary = ["".join(rng.choices("abcdefghijklm", k=6)) for _ in range(2000)]
+    lines = [" ".join(rng.choices(vocabulary, k=30) + rng.choices(WORDS, k=10)) for _ in range(300)]
+    near = [x.replace(" ", " q", 1) for x in lines[:60]]
+    monkeypatch.setattr(line_dedup, "blocks", lambda hashes: [hashes.select(F.lit(7).cast("long").alias("key"), F.col("line").alias("id"))])
+    judged = []
+    similar = line_dedup.similar
+    monkeypatch.setattr(line_dedup, "similar", lambda pairs, *more: judged.append(pairs.count()) or similar(pairs, *more))
+    docs = spark.createDataFrame([(1, "\n".join(lines)), (2, "\n".join(near))], "doc_id long, text string")
+    got = {r["doc_id"]: r["n_removed"] for r in line_dedup.dedup_lines(docs, "doc_id", "text").collect()}
+    assert got == {1: 0, 2: 60}
+    assert sum(judged) < 5 * 360
+
+
+def test_lines_near_piece_by_piece_are_near(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "PIECE", 8)
+    rng = random.Random(3)
+    pairs = []
+    for _ in range(300):
+        a = [rng.choice("abcd\u00e9") for _ in range(rng.randrange(1, 60))]
+        b = list(a)
+        for _ in range(rng.randrange(0, 12)):
+            at = rng.randrange(len(b) + 1)
+            b[at : at + rng.randrange(2)] = [rng.choice("abcd\u00e9")] * rng.randrange(2)
+        pairs.append(("".join(a), "".join(b)))
+    frame = spark.createDataFrame(pairs, "left string, right string")
+    frame = frame.withColumn("most", F.floor(F.greatest(F.length("left"), F.length("right")) * line_dedup.DIFFERENCE).cast("int"))
+    told = frame.select(line_dedup.pieces_near("left", "right", "most").alias("pieces"), (F.levenshtein("left", "right") <= F.col("most")).alias("near")).collect()
+    assert all(r["near"] for r in told if r["pieces"]) and sum(r["pieces"] for r in told) > 0.5 * sum(r["near"] for r in told)
