@@ -583,3 +583,16 @@ def test_lines_near_piece_by_piece_are_near(spark, monkeypatch):
     frame = frame.withColumn("most", F.floor(F.greatest(F.length("left"), F.length("right")) * line_dedup.DIFFERENCE).cast("int"))
     told = frame.select(line_dedup.pieces_near("left", "right", "most").alias("pieces"), (F.levenshtein("left", "right") <= F.col("most")).alias("near")).collect()
     assert all(r["near"] for r in told if r["pieces"]) and sum(r["pieces"] for r in told) > 0.5 * sum(r["near"] for r in told)
+
+
+def test_all_pairs_of_what_stays_large_are_near_in_size(spark):
+    stages, tried = Stages(spark), []
+    members = spark.range(40).select(F.lit(0).cast("long").alias("key"), "id", F.pow(10, F.col("id") % 2).alias("size"))
+    none = spark.createDataFrame([], "id long, class long")
+
+    def verify(pairs):
+        tried.extend(map(tuple, pairs.collect()))
+        return pairs.where("false")
+
+    linking.across_classes(members, none, verify, stages, order_minhash.near_sizes("size_a", "size_b", 0.8))
+    assert sorted(tried) == [(a, b) for a in range(40) for b in range(a + 2, 40, 2)]
