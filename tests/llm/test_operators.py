@@ -596,3 +596,27 @@ def test_all_pairs_of_what_stays_large_are_near_in_size(spark):
 
     linking.across_classes(members, none, verify, stages, order_minhash.near_sizes("size_a", "size_b", 0.8))
     assert sorted(tried) == [(a, b) for a in range(40) for b in range(a + 2, 40, 2)]
+
+
+def test_near_lines_of_a_large_bucket_that_share_no_word_are_found(spark, monkeypatch):
+    """One bucket holds all lines; copies have another letter in each word, so no key over words brings them together."""
+    lines = [" ".join(f"{w}{chr(97 + i)}{chr(97 + (7 * i + k) % 26)}xy" for k, w in enumerate(prose(700 + i, 25).split())) for i in range(24)]
+    near = [" ".join("Q" + w[1:] for w in x.split()) for x in lines[:12]]
+    monkeypatch.setattr(line_dedup, "blocks", lambda hashes: [hashes.select(F.lit(7).cast("long").alias("key"), F.col("line").alias("id"))])
+    monkeypatch.setattr(linking, "PART", 10)
+    docs = spark.createDataFrame([(1, "\n".join(lines)), (2, "\n".join(near))], "doc_id long, text string")
+    got = {r["doc_id"]: r["n_removed"] for r in line_dedup.dedup_lines(docs, "doc_id", "text").collect()}
+    assert got == {1: 0, 2: 12}
+
+
+def test_a_pair_of_several_buckets_is_looked_at_once_and_by_its_facts(spark):
+    stages, tried = Stages(spark), []
+    members = spark.range(30).select(F.explode(F.array(*(F.lit(k).cast("long") for k in (5, 3, 9)))).alias("key"), "id")
+    none = spark.createDataFrame([], "id long, class long")
+
+    def verify(pairs):
+        tried.extend(map(tuple, pairs.collect()))
+        return pairs.where("false")
+
+    linking.across_classes(members, none, verify, stages, "kind_a = kind_b AND size(keys_a) = 3", lambda ids: ids.withColumn("kind", F.col("id") % 3))
+    assert sorted(tried) == [(a, b) for a in range(30) for b in range(a + 3, 30, 3)]
