@@ -620,3 +620,62 @@ def test_a_pair_of_several_buckets_is_looked_at_once_and_by_its_facts(spark):
 
     linking.across_classes(members, none, verify, stages, "kind_a = kind_b AND size(keys_a) = 3", lambda ids: ids.withColumn("kind", F.col("id") % 3))
     assert sorted(tried) == [(a, b) for a in range(30) for b in range(a + 3, 30, 3)]
+
+
+def test_near_texts_of_a_large_bucket_are_found_without_further_keys(spark, monkeypatch):
+    """Texts that share a passage are in large buckets; further keys that no two have in common lose no link."""
+    rng = random.Random(16)
+    passage = prose(1, 60).split()
+    texts = []
+    for base in range(40):
+        own = [f"{w}{base}" for w in prose(200 + base, rng.randint(40, 70)).split()]
+        texts.append(own[:20] + passage + own[20:])
+    for base in range(0, 40, 2):
+        changed = list(texts[base])
+        for at in rng.sample(range(len(changed)), len(changed) // 7):
+            changed[at] = f"changed{base}"
+        texts.append(changed)
+    unlike = F.transform(F.sequence(F.lit(1), F.lit(linking.VALUES)), lambda i: F.xxhash64("id", i))
+    monkeypatch.setattr(order_minhash, "further_values", lambda ids, words: words.join(ids, "id").select("id", unlike.alias("values"), F.col("n").alias("size")))
+    monkeypatch.setattr(order_minhash, "SKETCHES", {5: 24})
+    monkeypatch.setattr(order_minhash, "sketch", sketch_of_the_passage)
+    monkeypatch.setattr(linking, "BLOCK", 16)
+    frame = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = defaultdict(list)
+    for r in order_minhash.near_duplicates(frame, "doc_id", "text").collect():
+        got[r["class_id"]].append(r["doc_id"])
+    assert sorted(map(sorted, got.values())) == sorted([i, 40 + i // 2] if i % 2 == 0 else [i] for i in range(40))
+
+
+def sketch_of_the_passage(docs, doc_id, text):
+    """One sketch value, which all texts share."""
+    values = F.array(*[F.lit(7).cast("long")] * 24)
+    return docs.select(F.col(doc_id).alias("id"), F.xxhash64(text).alias("tie"), F.unhex(F.md5(text)).alias("digest"), F.size(F.split(text, " ")).cast("long").alias("n_words"), values.alias("sketch"))
+
+
+def test_marks_tell_no_near_texts_apart():
+    rng, known = random.Random(8), order_minhash.WordHashes()
+    told = 0
+    for i in range(300):
+        a = prose(900 + i, rng.choice([5, 20, 80, 400])).split()
+        b = list(a)
+        for _ in range(len(a) // rng.choice([2, 3, 4, 5, 6])):
+            at = rng.randrange(len(b) + 1)
+            b[at : at + rng.randrange(2)] = rng.choice([[], ["opal"], ["new"]])
+        a_bits, b_bits = (np.unpackbits(order_minhash.bag_marks(order_minhash.hashes(x, known))) for x in (a, b))
+        most = int(0.2 * max(len(a), len(b)) + 1e-9)
+        near = order_minhash.banded_distance(a, b, most) <= most
+        let = (a_bits != b_bits).sum() <= order_minhash.most_marks(0.8, np.array([len(a)]), np.array([len(b)]))[0]
+        assert let or not near
+        told += not let
+        c = prose(5000 + i, len(a)).split()
+        c_bits = np.unpackbits(order_minhash.bag_marks(order_minhash.hashes([x + "z" for x in c], known)))
+        assert (a_bits != c_bits).sum() > order_minhash.most_marks(0.8, np.array([len(a)]), np.array([len(c)]))[0]
+    assert told > 20
+
+
+def test_a_repeated_kmer_leaves_the_others_as_they_are():
+    words = order_minhash.hashes([f"w{i}" for i in range(40)], order_minhash.WordHashes())
+    for k in (1, 3, 5):
+        once, again = (set(order_minhash.labelled_kmers(x, k).tolist()) for x in (words, np.concatenate([words, words[:k]])))
+        assert once < again and len(again) - len(once) == k
