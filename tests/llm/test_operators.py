@@ -679,3 +679,22 @@ def test_a_repeated_kmer_leaves_the_others_as_they_are():
     for k in (1, 3, 5):
         once, again = (set(order_minhash.labelled_kmers(x, k).tolist()) for x in (words, np.concatenate([words, words[:k]])))
         assert once < again and len(again) - len(once) == k
+
+
+def test_phrase_starts_are_settled_slice_by_slice(spark, docs, monkeypatch):
+    """No slice writes what another does, and together they give what one slice of all gives."""
+    want = sorted(map(tuple, substring_dedup.dedup_substrings(docs, "doc_id", "text").collect()), key=repr)
+    written, write = {}, Stages.write
+    monkeypatch.setattr(Stages, "write", lambda self, name, df, wide=False: written.setdefault(name, write(self, name, df, wide)))
+    monkeypatch.setattr(Stages, "drop", lambda self, *names: None)
+    monkeypatch.setattr(substring_dedup, "ENTRIES", 5)
+    for slices in (1, 4):
+        written.clear()
+        monkeypatch.setattr(substring_dedup, "SLICES", slices)
+        got = sorted(map(tuple, substring_dedup.dedup_substrings(docs, "doc_id", "text").collect()), key=repr)
+        assert got == want and any(r[3] for r in got)
+        number = {n: written[n].count() for n in written if n.startswith("found")}
+        assert len(number) == slices
+        if slices == 1:
+            whole = number["found0"]
+    assert sum(number.values()) == whole and max(number.values()) < 0.6 * whole
