@@ -698,3 +698,30 @@ def test_phrase_starts_are_settled_slice_by_slice(spark, docs, monkeypatch):
         if slices == 1:
             whole = number["found0"]
     assert sum(number.values()) == whole and max(number.values()) < 0.6 * whole
+
+
+def test_lines_that_further_keys_do_not_bring_together_go_in_the_pipeline(spark, monkeypatch):
+    import corpus_pipeline
+
+    lines = [" ".join(f"{w}{chr(97 + i)}{chr(97 + (7 * i + k) % 26)}xy" for k, w in enumerate(prose(800 + i, 25).split())) for i in range(12)]
+    near = [" ".join("Q" + w[1:] for w in x.split()) for x in lines[:6]]
+    monkeypatch.setattr(line_dedup, "blocks", lambda hashes: [hashes.select(F.lit(7).cast("long").alias("key"), F.col("line").alias("id"))])
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in enumerate(lines + near)], "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(r["doc_id"] for r in corpus_pipeline.dedup_lines(spark, docs, "").collect()) == list(range(12))
+
+
+def test_what_further_keys_put_into_large_buckets_is_left_to_every(spark):
+    stages, got = Stages(spark), {}
+    members = spark.range(40).select((F.col("id") % 2).alias("key"), "id")
+
+    def every(members, classes):
+        got.update((r["key"], sorted(r["ids"])) for r in members.groupBy("key").agg(F.collect_list("id").alias("ids")).collect())
+        return classes
+
+    def further(ids):  # all ids of half the range are alike
+        return ids.select("id", F.array(*[(F.col("id") / 20).cast("long")] * linking.VALUES).alias("values"))
+
+    linking.classes_of(linking.candidate_pairs([members], stages), lambda pairs: pairs.where("false"), stages, further, every=every)
+    assert got.pop(0) == list(range(0, 40, 2)) and got.pop(1) == list(range(1, 40, 2))
+    halves = list(map(tuple, got.values()))
+    assert len(halves) == 2 * linking.LEVELS[0][1] and set(halves) == {tuple(range(20)), tuple(range(20, 40))}
